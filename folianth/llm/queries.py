@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from folianth.llm import canonical
+from folianth.llm import abuse, canonical, leakage, markup, mixing
 from folianth.sources.tables import table
 
 
@@ -14,6 +14,47 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return canonical.same_look(table(spark, sf_dir, "spec_entries"))
 
 
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return markup.markup_kinds(table(spark, sf_dir, "content_blocks"))
+
+
+def p5_clean_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return markup.clean_fields(table(spark, sf_dir, "content_blocks"))
+
+
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leakage.leaked_pairs(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
+
+
+def p6_without_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leakage.without_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
+
+
+def p7_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixture(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"))
+
+
+def p7_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.shares(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"))
+
+
+def p7_packed_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return mixing.packed(mixing.mixture(docs, table(spark, sf_dir, "mix_targets")), docs)
+
+
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return abuse.flagged(table(spark, sf_dir, "documents"))
+
+
+def p8_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return abuse.scores(table(spark, sf_dir, "documents"))
+
+
+def p8_source_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return abuse.rates(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v for k, v in globals().items() if k[0] == "p" and k[1:2].isdigit()}
 
