@@ -203,10 +203,9 @@ class Mixture:
     def report(self) -> DataFrame:
         """One row for each source that has a target or documents."""
         drawn = self.drawn.groupBy("source").agg(F.sum(F.col("token_to") - F.col("token_from")).alias("drawn_tokens"), F.max("use_no").alias("most_uses"))
-        total = drawn.agg(F.sum("drawn_tokens").alias("all_tokens"))
         both = self.by_source.join(self.targets, self.by_source["source"].eqNullSafe(self.targets["source"]), "full").select(F.coalesce(self.by_source["source"], self.targets["source"]).alias("source"), "documents", "tokens", "target_share", "max_repeats")
         return (
-            both.join(drawn, "source", "left").join(F.broadcast(total), how="inner", on=F.lit(True))
+            both.join(drawn, "source", "left").withColumn("all_tokens", F.sum("drawn_tokens").over(Window.partitionBy()))  # a row for each source
             .select(
                 "source", F.coalesce("documents", F.lit(0)).alias("documents"), F.coalesce("tokens", F.lit(0)).alias("tokens"), F.coalesce("target_share", F.lit(0.0)).alias("target_share"), "max_repeats",
                 F.coalesce("drawn_tokens", F.lit(0)).alias("drawn_tokens"), F.round(F.coalesce("drawn_tokens", F.lit(0)) / F.col("all_tokens"), 6).alias("reached_share"), F.coalesce("most_uses", F.lit(0)).alias("most_uses"),

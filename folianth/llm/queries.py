@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from folianth.llm import abuse, canonical, leakage, markup, mixing
+from folianth.llm import abuse, canonical, leakage, markup, mixing, site_lines
 from folianth.sources.tables import table
 
 
@@ -14,6 +14,18 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return canonical.same_look(table(spark, sf_dir, "spec_entries"))
 
 
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return site_lines.excess_places(table(spark, sf_dir, "content_blocks"))
+
+
+def p3_excess_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return site_lines.excess(table(spark, sf_dir, "content_blocks"))
+
+
+def p3_without_excess(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return site_lines.without_excess(table(spark, sf_dir, "content_blocks"))
+
+
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return markup.markup_kinds(table(spark, sf_dir, "content_blocks"))
 
