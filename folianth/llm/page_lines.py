@@ -14,7 +14,7 @@ TOP, BOTTOM = 62.0, 900.0
 PAGE_NUMBER = (
     r"(?iU)^[\s\p{Z}]*(?:"
     r"[-–—~·•.\[(【（〔|\s]*[0-9OolI|SBZ]{1,5}(?:\s?[0-9OolI|SBZ]){0,4}[-–—~·•.\])】）〕|\s]*"
-    r"|[-–—·•\[(\s]*[ivxlc]{1,8}[-–—·•\])\s]*"
+    r"|[-–—·•\[(\s]*[ivxlc](?:\s?[ivxlc]){0,7}[-–—·•\])\s]*"
     r"|第\s*[0-9OolI|SBZ]{1,5}(?:\s?[0-9OolI|SBZ]){0,4}\s*[页頁]"
     r"|(?:page|p\.?|pg\.?)\s*[0-9OolI|SBZ]{1,5}"
     r"|[0-9OolI|SBZ](?:\s?[0-9OolI|SBZ]){0,4}\s*[/／]\s*[0-9OolI|SBZ](?:\s?[0-9OolI|SBZ]){0,4}"

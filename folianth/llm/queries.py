@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from folianth.llm import abuse, canonical, leakage, markup, mixing, site_lines
+from folianth.llm import abuse, canonical, leakage, markup, mixing, scan_repair, site_lines
 from folianth.sources.tables import table
 
 
@@ -14,6 +14,14 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return canonical.same_look(table(spark, sf_dir, "spec_entries"))
 
 
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_repair.noise(table(spark, sf_dir, "content_blocks"))
+
+
+def p2_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_repair.paragraphs(table(spark, sf_dir, "content_blocks"))
+
+
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return site_lines.excess_places(table(spark, sf_dir, "content_blocks"))
 
