@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from folianth.plans import records
+from folianth.plans import records, text
 
-MODULES = (records,)
+MODULES = (records, text)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
