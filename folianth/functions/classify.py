@@ -48,8 +48,9 @@ class Predicate:
         return self.column(text)
 
 
-def _has(pattern: str) -> tuple:
-    return (lambda x: x.rlike(pattern)), (lambda x: f"regexp_matches({x}, {quoted(pattern)})")
+def _let(value: Column, body) -> Column:
+    """`body` of a value that is evaluated once, however often the body names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
 
 
 def _count(x: Column, pattern: str) -> Column:
@@ -61,8 +62,7 @@ def _count_sql(x: str, pattern: str) -> str:
 
 
 def _entry(x: Column) -> Column:
-    t = R.apply([*R.extractor_text, R.COLLAPSE, *R.STRIP], x)
-    return (t != "") & (F.length(t) <= 120) & (t.rlike(ENTRY_LOCATOR) | t.rlike(ENTRY_BARE))
+    return _let(R.apply([*R.extractor_text, R.COLLAPSE, *R.STRIP], x), lambda t: (t != "") & (F.length(t) <= 120) & (t.rlike(ENTRY_LOCATOR) | t.rlike(ENTRY_BARE)))
 
 
 def _entry_sql(x: str) -> str:
@@ -97,10 +97,13 @@ def _page(slash: bool):
 
 
 def _level(x: Column) -> Column:
-    t = R.apply("label_title", x)
+    return F.when(x.isNull(), None).when(_entry(x), 0).otherwise(_let(R.apply("label_title", x), _title_level))
+
+
+def _title_level(t: Column) -> Column:
     dots = F.length(t) - F.length(F.replace(t, F.lit("."), F.lit("")))
     return (
-        F.when(x.isNull(), None).when(_entry(x) | (t == "") | (F.length(t) > 80), 0).when(t.rlike(NAMED_FRONT), 1).when(t.rlike(f"^第{NUMERAL}+[篇部卷章]{AFTER}"), 1).when(t.rlike(f"^第{NUMERAL}+节{AFTER}"), 2)
+        F.when((t == "") | (F.length(t) > 80), 0).when(t.rlike(NAMED_FRONT), 1).when(t.rlike(f"^第{NUMERAL}+[篇部卷章]{AFTER}"), 1).when(t.rlike(f"^第{NUMERAL}+节{AFTER}"), 2)
         .when(t.rlike(rf"^{DIGIT}+{SP}+[^\s]"), 2).when(t.rlike(rf"^{DIGIT}+(?:\.{DIGIT}+){{1,3}}{SP}*[^\s]"), F.least(dots + 2, F.lit(4))).when(t.rlike(rf"^{SHORT_NUMERAL}+[、.．]{SP}*[^\s]"), 2).otherwise(0)
     )
 
@@ -115,8 +118,7 @@ def _level_sql(x: str) -> str:
 
 
 def _fallback(x: Column) -> Column:
-    t = R.apply(R.STRIP, x)
-    return (t != "") & (F.length(t) <= 90) & ~_entry(t) & ~t.rlike(CLOSING) & t.rlike(FALLBACK)
+    return _let(R.apply(R.STRIP, x), lambda t: (t != "") & (F.length(t) <= 90) & ~_entry(t) & ~t.rlike(CLOSING) & t.rlike(FALLBACK))
 
 
 def _fallback_sql(x: str) -> str:

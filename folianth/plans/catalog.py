@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from folianth.plans import records, text
+from folianth.plans import navigation, records, text
 
-MODULES = (records, text)
+MODULES = (records, text, navigation)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
