@@ -12,23 +12,22 @@ from pyspark.sql import functions as F
 GRAM = 6
 
 
-def contains_join(needles: DataFrame, needle: str, texts: DataFrame, text: str, on: list[str] | None = None, gram: int = GRAM) -> DataFrame:
+def contains_join(needles: DataFrame, needle: str, texts: DataFrame, text: str, text_id: str, on: list[str] | None = None, gram: int = GRAM) -> DataFrame:
     """Rows of `needles` with the rows of `texts` whose `text` contains `needle`, within equal `on` columns.
 
-    Null and empty needles match nothing. Needles shorter than `gram` use windows of their own length. The other columns of
-    both sides must differ in name; `on` columns come once.
+    `text_id` names a text; only it travels with the windows, the texts meet the candidates afterwards. Null and empty needles
+    match nothing. Needles shorter than `gram` use windows of their own length. The other columns of both sides must differ
+    in name; `on` columns come once.
     """
     on = on or []
     few = F.least(F.length(needle), F.lit(gram))
     left = needles.where(F.length(needle) > 0).withColumn("_g", F.substring(F.col(needle), F.lit(1), few))
-    sizes = sorted(r[0] for r in left.select(F.length("_g")).distinct().collect())  # at most `gram` numbers
-    if not sizes:
-        return left.drop("_g").join(texts.limit(0), on or F.lit(False))
-    # a look-ahead that takes nothing gives every window in one pass over the text
+    sizes = sorted(r[0] for r in left.select(F.length("_g")).distinct().collect()) or [gram]  # at most `gram` numbers
+    # a look-ahead that takes nothing gives every window in one pass; the text is evaluated once
     every = lambda t: F.array_distinct(F.flatten(F.array(*(F.regexp_extract_all(t, F.lit(f"(?s)(?=(.{{{n}}}))"), 1) for n in sizes))))
-    windows = F.element_at(F.transform(F.array(F.col(text)), every), 1)  # the text is evaluated once
-    right = texts.where(F.length(text) > 0).withColumn("_g", F.explode(windows))
-    return left.join(right, [*on, "_g"]).where(F.contains(F.col(text), F.col(needle))).drop("_g")
+    windows = texts.where(F.length(text) > 0).select(*on, text_id, F.explode(F.element_at(F.transform(F.array(F.col(text)), every), 1)).alias("_g"))
+    met = left.join(windows, [*on, "_g"]).drop("_g")
+    return met.join(texts, [*on, text_id]).where(F.contains(F.col(text), F.col(needle)))
 
 
 def prefix_filter(column: str, value: Column) -> Column:

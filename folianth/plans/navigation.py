@@ -139,8 +139,8 @@ def unexplained_additions(spark, d):
 def later_label_hits(spark, d):
     """The first later chapter of the same book whose text holds an entry's label (by key, four characters at least)."""
     e = placed(spark, d).where(F.col("pos").isNotNull()).select("entry_id", "book", F.floor(F.col("pos") / 1_000_000_000).alias("file_index"), rules.apply("key_evidence", F.col("label")).alias("needle")).where(F.length("needle") >= 4)
-    docs = table(spark, d, "documents").where(F.col("chapter_no").isNotNull() & F.col("text").isNotNull()).select("book", "chapter_no", rules.apply("key_evidence", F.col("text")).alias("body"))
-    hit = contains.contains_join(e, "needle", docs, "body", on=["book"]).where(F.col("chapter_no") > F.col("file_index"))
+    docs = table(spark, d, "documents").where(F.col("chapter_no").isNotNull() & F.col("text").isNotNull()).select("book", "doc_id", "chapter_no", rules.apply("key_evidence", F.col("text")).alias("body"))
+    hit = contains.contains_join(e, "needle", docs, "body", "doc_id", on=["book"]).where(F.col("chapter_no") > F.col("file_index"))
     return hit.groupBy("entry_id", "book").agg(F.min("chapter_no").cast("bigint").alias("chapter_no"))
 
 
