@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from folianth.operators import nested
+from folianth.operators import layout, nested, resolve
+from folianth.plans.relations import entries, lines
 from folianth.sources.tables import table
 
 
@@ -20,5 +21,28 @@ def p4_entries_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return entries.where(F.col("label").isNotNull())
 
 
-QUERIES = {"p4_found": p4_found, "p4_entries_table": p4_entries_table}
+def markdown_render(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The Markdown of every layout item that has a text."""
+    return layout.rendered(table(spark, sf_dir, "content_blocks"))
+
+
+def markdown_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The Markdown of every book, in parts of bounded size."""
+    return layout.parts(table(spark, sf_dir, "content_blocks"))
+
+
+def resolve_search_spec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every unplaced entry looked for in the chapters of its book, the others taken as they are placed."""
+    e = entries(spark, sf_dir)
+    index = F.nullif(F.regexp_extract("file", r"([0-9]+)", 1), F.lit("")).cast("int")
+    asked = e.select("book", "entry_id", "seq", "label", "search", "exact", "occurrence", "start_file", "max_file", F.col("window_blocks").alias("window"), index.alias("file_index"), "block")
+    chapters = table(spark, sf_dir, "documents").where(F.col("book").isNotNull() & F.col("chapter_no").isNotNull()).groupBy("book", "chapter_no").agg(F.min("doc_id").alias("doc_id"))
+    text = lines(spark, sf_dir).drop("book").join(chapters, "doc_id").where(F.length(F.trim("line")) > 0)
+    order = Window.partitionBy("doc_id").orderBy("line_no")
+    blocks = text.select("book", F.col("chapter_no").alias("file_index"), (F.row_number().over(order) - 1).alias("block"), F.col("line").alias("text"))
+    books = table(spark, sf_dir, "spec_books").where(F.col("book").isNotNull()).groupBy("book").agg(F.min("start_file").alias("start_file"), F.min("start_block").alias("start_block"), F.min("exact").alias("exact"))
+    return resolve.resolve(asked, blocks, books)
+
+
+QUERIES = {"p4_found": p4_found, "p4_entries_table": p4_entries_table, "markdown_render": markdown_render, "markdown_parts": markdown_parts, "resolve_search_spec": resolve_search_spec}
 SQL: dict[str, str] = {}
