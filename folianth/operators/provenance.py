@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 CONFIG = "struct<backend:string,method:string,lang:string,model_source:string,version:string>"
-RECEIPT = f"struct<conversion_provenance:struct<version:int,source_sha256:string,build_config:string>,artifacts:array<struct<canonical:string,sha256:string>>>"
+RECEIPT = "struct<conversion_provenance:struct<version:int,source_sha256:string,build_config:string>,artifacts:array<struct<canonical:string,sha256:string>>>"
 RECORD = f"struct<version:int,source_sha256:string,extraction_config:{CONFIG},files:map<string,string>>"
 
 
@@ -35,7 +35,7 @@ def verify_extractions(work: DataFrame) -> DataFrame:
     r = F.from_json("record", RECORD)
     rows = work.select("*", r.alias("r"))
     verdict = (
-        F.when(F.col("record").isNull() | F.col("r").isNull(), "no provenance").when(~F.col("r.version").eqNullSafe(F.lit(1)) | ~F.col("r.source_sha256").eqNullSafe(F.col("source_sha256")), "different source bytes")
+        F.when(F.col("r").isNull() | F.col("r.version").isNull() & F.col("r.source_sha256").isNull(), "no provenance").when(~F.col("r.version").eqNullSafe(F.lit(1)) | ~F.col("r.source_sha256").eqNullSafe(F.col("source_sha256")), "different source bytes")
         .when(~F.to_json("r.extraction_config").eqNullSafe(F.to_json("config")), "configuration changed").when(~F.col("kept_sha256").eqNullSafe(F.col("r.source_sha256")), "kept source was modified")
         .when(F.col("files").isNull() | ~_sorted(F.col("r.files")).eqNullSafe(_sorted(F.col("files"))), "files changed or incomplete")
     )

@@ -11,7 +11,6 @@ from folianth.operators.ordered import BUCKET, numbered, scan
 from folianth.plans.relations import ENTRIES_SQL, entries
 from folianth.sources.tables import table
 
-POSITION = F.regexp_extract("file", r"(\d+)", 1).cast("bigint") * 1_000_000_000 + F.col("block")
 PLACED_SQL = f"{ENTRIES_SQL}, placed AS (SELECT entry_id, book, CAST(seq AS BIGINT) AS seq, label, file, block, TRY_CAST(nullif(regexp_extract(file, '([0-9]+)', 1), '') AS BIGINT) * 1000000000 + block AS pos FROM entries)"
 
 

@@ -142,8 +142,8 @@ class _Blocks(HTMLParser):
             return
         if tag in CLOSES_P:
             self._close("p", {"li", "dd", "td", "th", "div", "blockquote", "section", "article"} - {tag})
-        if tag in CLOSES_SAME:
-            self._close(tag, CLOSES_SAME[tag])
+        for other in {"dt": ("dt", "dd"), "dd": ("dt", "dd"), "li": ("li",)}.get(tag, ()):
+            self._close(other, CLOSES_SAME[tag])
         block = {"tag": tag, "text": [], "ids": [], "begins": (*self.getpos(), len(self.get_starttag_text() or ""))} if tag in BLOCK_TAGS else None
         if block is not None:
             self.blocks.append(block)
