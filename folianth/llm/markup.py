@@ -54,8 +54,10 @@ LATEX = [
     re.compile(r"\$\$(?=\S).+?\$\$", re.S), re.compile(r"(?<![\\$\w])\$(?![\s$])(?=[^$\n]*[\\^_=A-Za-z])(?!\d+(?:[.,]\d+)*(?:\s|[-–~～/,;:)]|$))[^$\n]*[^\s$\\]\$(?![\d$])"),
     re.compile(r"(?<![\w\\])[A-Za-z](?:[_^]\{[^{}\n]*\})"), re.compile(r"[\w)\]}][\^_]\{[^{}\n]*\}"), re.compile(r"\S\s*\\\\\s*(?:$|\n|\\)"), re.compile(r"(?<=\d)\\%"),
 ]
+#: A cell of the line below a table's head; a lone hyphen may be a cell without a value.
+RULE = r"(?::-+:?|-+:|-{2,})"
 MARKDOWN = [
-    re.compile(r"^[ \t]*\|?[ \t]*:?-{2,}:?[ \t]*(?:\|[ \t]*:?-{2,}:?[ \t]*)+\|?[ \t]*$", re.M), re.compile(r"^[ \t]*\|[ \t]*:?-{2,}:?[ \t]*\|[ \t]*$", re.M), re.compile(r"^ {0,3}#{1,6}[ \t]+\S", re.M), re.compile(r"(?<![*\\])\*\*(?=[^\s*])[^*\n]*?(?<=[^\s*])\*\*(?!\*)"),
+    re.compile(rf"^[ \t]*\|?[ \t]*{RULE}[ \t]*(?:\|[ \t]*{RULE}[ \t]*)+\|?[ \t]*$", re.M), re.compile(rf"^[ \t]*\|[ \t]*{RULE}[ \t]*\|[ \t]*$", re.M), re.compile(r"^ {0,3}#{1,6}[ \t]+\S", re.M), re.compile(r"(?<![*\\])\*\*(?=[^\s*])[^*\n]*?(?<=[^\s*])\*\*(?!\*)"),
     re.compile(r"(?<![\w\\])__(?=[^\s_])[^_\n]*?(?<=[^\s_])__(?!\w)"), re.compile(r"(?<![\w*\\])\*(?=[^\s*])[^*\n{}\\]*?(?<=[^\s*])\*(?![\w*])"), re.compile(r"(?<![\w\\{}])_(?=[^\s_])[^_\n{}\\]*?(?<=[^\s_])_(?![\w{])"), re.compile(r"(?<!`)`[^`\n]+`(?!`)"), re.compile(r"^[ \t]*(?:```|~~~)", re.M),
     re.compile(r"!?\[[^\]\n]*\]\((?:[^()\s]*[/.#][^()\s]*)(?:\s+\"[^\"\n]*\")?\)"), re.compile(r"(?:^[ \t]*[-+][ \t]+\S.*\n?){2,}", re.M), re.compile(r"^>[ \t]+\S", re.M), re.compile(r"~~(?=\S)[^~\n]+(?<=\S)~~"),
 ]
@@ -243,7 +245,10 @@ def render(node: Node) -> str:
 
 
 def tidy(text: str) -> str:
-    return re.sub(r"\n{2,}", "\n", re.sub(r"[ \t\xa0]+\n", "\n", re.sub(r"\n[ \t]+(?=[^\s-])", "\n", text))).strip()
+    """Blank lines and stray indents go; what stands between code fences stays as it is."""
+    parts = re.split(r"(```.*?```)", text, flags=re.S)
+    parts[::2] = [re.sub(r"\n{2,}", "\n", re.sub(r"[ \t\xa0]+\n", "\n", re.sub(r"\n[ \t]+(?=[^\s-])", "\n", p))) for p in parts[::2]]
+    return "".join(parts).strip()
 
 
 LATEX_ROW = re.compile(r"\s*\\\\(?:\[[^\]]*\])?\s*(?:\\(?:hline|midrule|bottomrule|toprule)\s*)*")
@@ -294,7 +299,7 @@ def wiki_text(text: str) -> str:
 
 def markdown_text(text: str) -> str:
     """Markdown tables as rows; headings, lists and code keep their signs; emphasis and links become their text."""
-    text = re.sub(r"^[ \t]*\|?[ \t]*:?-{2,}:?[ \t]*(?:\|[ \t]*:?-{2,}:?[ \t]*)*\|?[ \t]*\n?", lambda m: "" if "|" in m.group(0) else m.group(0), text, flags=re.M)
+    text = re.sub(rf"^[ \t]*\|?[ \t]*{RULE}[ \t]*(?:\|[ \t]*{RULE}[ \t]*)*\|?[ \t]*$\n?", lambda m: "" if "|" in m.group(0) else m.group(0), text, flags=re.M)
     text = re.sub(r"^[ \t]*\|(.*)\|[ \t]*$", lambda m: " | ".join(c.strip() for c in m.group(1).split("|")), text, flags=re.M)
     text = re.sub(r"!?\[([^\]\n]*)\]\((?:[^()\s]*[/.#][^()\s]*)(?:\s+\"[^\"\n]*\")?\)", r"\1", text)
     text = re.sub(r"(?<![*\\])\*\*(?=[^\s*])([^*\n]*?)(?<=[^\s*])\*\*(?!\*)", r"\1", text)
