@@ -45,4 +45,12 @@ def resolve_search_spec(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"p4_found": p4_found, "p4_entries_table": p4_entries_table, "markdown_render": markdown_render, "markdown_parts": markdown_parts, "resolve_search_spec": resolve_search_spec}
-SQL: dict[str, str] = {}
+#: Nested texts are read by a recursive query, so that the tree walk is the SQL engine's own.
+SQL = {
+    "p4_found": """WITH RECURSIVE texts AS (SELECT record_id AS id, '' AS prefix, ltrim(body, chr(65279)) AS j FROM (SELECT DISTINCT record_id, body FROM spec_records) WHERE json_valid(ltrim(body, chr(65279)))
+UNION ALL SELECT texts.id, ltrim(texts.prefix || substr(t.fullkey, 2), '.'), t.atom ->> '$' FROM texts, json_tree(texts.j) t WHERE t.key = 'children' AND t.type = 'VARCHAR' AND json_valid(t.atom ->> '$')),
+nodes AS (SELECT DISTINCT 'spec' AS src, texts.id AS rec_id, ltrim(prefix || substr(t.path, 2), '.') AS node_path FROM texts, json_tree(texts.j) t WHERE t.key = 'label'
+UNION ALL SELECT DISTINCT 'content', block_id, substr(t.path, 3) FROM (SELECT DISTINCT block_id, item FROM content_blocks WHERE json_valid(item)) c, json_tree(c.item) t WHERE t.key = 'type' AND (t.path = '$.content' OR starts_with(t.path, '$.content.') OR starts_with(t.path, '$.content['))),
+links AS (SELECT n.*, p.node_path AS above, row_number() OVER (PARTITION BY n.src, n.rec_id, n.node_path ORDER BY length(p.node_path) DESC NULLS LAST) AS k FROM nodes n LEFT JOIN nodes p ON p.src = n.src AND p.rec_id = n.rec_id AND (p.node_path = '' AND n.node_path <> '' OR starts_with(n.node_path, p.node_path || '.') OR starts_with(n.node_path, p.node_path || '[')))
+SELECT src, rec_id, node_path, coalesce(above, '') AS parent_path FROM links WHERE k = 1""",
+}

@@ -5,12 +5,37 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+def ship(spark: SparkSession) -> None:
+    """Make this package known to the workers, once for each context.
+
+    Where PYTHONPATH names the package's folder the workers find it themselves; else the driver serves it to them.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_folianth_shipped", False):
+        return
+    context._folianth_shipped = True
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    root = os.path.dirname(package)
+    if root in os.environ.get("PYTHONPATH", "").split(os.pathsep):
+        return
+    target = os.path.join(tempfile.mkdtemp(prefix="folianth-"), "folianth.zip")
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, files in os.walk(package):
+            for f in files:
+                if f.endswith(".py"):
+                    path = os.path.join(folder, f)
+                    z.write(path, os.path.relpath(path, root))
+    context.addPyFile(target)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One Parquet table of a scale directory."""
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
