@@ -79,5 +79,26 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v for k, v in globals().items() if k[0] == "p" and k[1:2].isdigit()}
 
 
+def _sql_text(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """Only the lines of a source can be told in SQL; the others are tested against brute force, held-out accuracy or exact sums."""
+    from folianth.llm.page_lines import BOTTOM, NARROW, PAGE_NUMBER, TOP, WIDE
+
+    key = f"regexp_replace(lower(translate(line, {_sql_text(WIDE)}, {_sql_text(NARROW)})), '[\\p{{Nd}}\\s\\p{{Z}}\\x{{feff}}\\x{{200b}}]+', '', 'g')"
+    number = _sql_text(PAGE_NUMBER.replace("(?iU)", "(?i)"))
+    lines = f"""items AS (SELECT block_id, any_value(book) AS book, any_value(source) AS source, any_value(item) AS item FROM content_blocks WHERE type = 'text' AND json_valid(item) GROUP BY block_id),
+    texts AS (SELECT block_id, book, source, item ->> '$.text' AS body FROM items WHERE source IS NOT NULL AND book IS NOT NULL AND (item ->> '$.text_level') IS NULL AND (item ->> '$.text') IS NOT NULL AND coalesce(CASE WHEN json_array_length(item, '$.bbox') = 4 THEN CAST(item ->> '$.bbox[1]' AS DOUBLE) END BETWEEN {TOP} AND {BOTTOM}, true)),
+    cut AS (SELECT block_id, book, source, unnest(range(1, len(s) + 1)) AS line_no, unnest(s) AS line FROM (SELECT *, string_split(body, chr(10)) AS s FROM texts)),
+    lines AS (SELECT *, {key} AS key FROM cut WHERE NOT regexp_matches(line, {number}) AND regexp_matches({key}, '\\p{{L}}')),
+    books AS (SELECT source, count(DISTINCT book) AS books FROM content_blocks WHERE source IS NOT NULL GROUP BY source),
+    excess AS (SELECT source, key FROM lines JOIN books USING (source) GROUP BY source, key, books HAVING count(DISTINCT book) >= 3 AND count(DISTINCT book) >= 0.25 * books)"""
+    return {
+        "p3_found": f"WITH {lines} SELECT DISTINCT block_id, CAST(line_no AS INTEGER) AS line_no FROM lines JOIN excess USING (source, key)",
+        "p3_without_excess": f"""WITH {lines}, seqs AS (SELECT block_id, any_value(book) AS book, any_value(seq) AS seq, any_value(item) AS item FROM content_blocks WHERE type = 'text' AND json_valid(item) GROUP BY block_id),
+    every AS (SELECT block_id, book, seq, unnest(range(1, len(s) + 1)) AS line_no, unnest(s) AS line FROM (SELECT *, string_split(item ->> '$.text', chr(10)) AS s FROM seqs WHERE (item ->> '$.text') IS NOT NULL)),
+    gone AS (SELECT DISTINCT block_id, line_no FROM lines JOIN excess USING (source, key))
+    SELECT book, seq, block_id, string_agg(line, chr(10) ORDER BY line_no) AS text FROM every e WHERE NOT EXISTS (SELECT 1 FROM gone g WHERE g.block_id = e.block_id AND g.line_no = e.line_no) GROUP BY book, seq, block_id""",
+    }
