@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from folianth.plans import navigation, pages, records, text
+from folianth.plans import lookups, navigation, pages, records, text
 
-MODULES = (records, text, navigation, pages)
+MODULES = (records, text, navigation, pages, lookups)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
