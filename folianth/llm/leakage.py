@@ -107,6 +107,17 @@ class Items:
             at = np.concatenate([np.arange(len(p[0]), dtype=np.int32) for p in parts])
             order = np.argsort(h, kind="stable")
             self.grams[n] = h[order], who[order], at[order]
+        self._sieves: dict[int, np.ndarray] = {}
+
+    def sieve(self, n: int) -> np.ndarray:
+        """One flag for each value of a hash's low bits: most windows are no gram and end here. Built where it is used."""
+        if n not in self._sieves:
+            grams = self.grams[n][0]
+            bits = min(26, max(16, len(grams).bit_length() + 5))
+            flags = np.zeros(1 << bits, bool)
+            flags[grams & np.uint64((1 << bits) - 1)] = True
+            self._sieves[n] = flags
+        return self._sieves[n]
 
 
 def pieces(i: np.ndarray, j: np.ndarray, n: int) -> list[tuple[int, int, int, int]]:
@@ -160,14 +171,15 @@ def scan(texts: pa.Array, items: Items, share: float = SHARE) -> Iterator[tuple[
     hits: list[np.ndarray] = []
     for n, (grams, who, at) in items.grams.items():
         h = window_hashes(chars, n)
-        lo = np.searchsorted(grams, h)
-        ok = np.flatnonzero(grams[np.minimum(lo, len(grams) - 1)] == h)
+        flags = items.sieve(n)
+        ok = np.flatnonzero(flags[h & np.uint64(len(flags) - 1)])
+        ok = ok[grams[np.minimum(np.searchsorted(grams, h[ok]), len(grams) - 1)] == h[ok]]
         if not len(ok):
             continue
         row = np.searchsorted(rows, ok, side="right") - 1
         inside = ok + n <= rows[row + 1]
         ok, row = ok[inside], row[inside]
-        lo = lo[ok]
+        lo = np.searchsorted(grams, h[ok])
         count = np.searchsorted(grams, h[ok], side="right") - lo
         every = np.repeat(lo, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
         hits.append(np.stack([np.repeat(row, count), who[every], at[every], np.repeat(ok, count)]))
