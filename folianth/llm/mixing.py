@@ -221,6 +221,14 @@ def shares(documents: DataFrame, targets: DataFrame, **options) -> DataFrame:
     return Mixture(documents, targets, **options).report
 
 
+def document_uses(documents: DataFrame, targets: DataFrame, **options) -> DataFrame:
+    """(doc_id, source, tokens, drawn_tokens, most_uses): how much of each document is drawn, and how often the part that is drawn most."""
+    m = Mixture(documents, targets, **options)
+    parts = m.drawn.groupBy("doc_id", "token_from", "token_to").agg(F.count(F.lit(1)).alias("uses"))
+    used = parts.groupBy("doc_id").agg(F.sum(F.col("uses") * (F.col("token_to") - F.col("token_from"))).alias("drawn_tokens"), F.max("uses").alias("most_uses"))
+    return m.counts.join(used, "doc_id", "left").select("doc_id", "source", "tokens", F.coalesce("drawn_tokens", F.lit(0)).alias("drawn_tokens"), F.coalesce("most_uses", F.lit(0)).alias("most_uses"))
+
+
 def packed(drawn: DataFrame, documents: DataFrame, tokenizer_path: str | None = None) -> DataFrame:
     """(shard, slot, source, token_ids): the drawn blocks with their tokens.
 

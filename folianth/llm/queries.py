@@ -58,6 +58,10 @@ def p7_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.shares(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"))
 
 
+def p7_document_uses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.document_uses(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"))
+
+
 def p7_packed_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return mixing.packed(mixing.mixture(docs, table(spark, sf_dir, "mix_targets")), docs)

@@ -22,6 +22,8 @@ def test_mixture(spark):
     uses = Counter((r.source, r.block, r.doc_id, r.token_from) for r in drawn)
     assert max(v for k, v in uses.items() if k[0] == "hot") == 1 and max(v for k, v in uses.items() if k[0] == "b") <= 2
     assert len({(r.shard, r.slot) for r in drawn}) == sum(n for _, n in m.planned.values())
+    used = {r.doc_id: r for r in M.document_uses(docs, targets, block_tokens=32, shards=4).collect()}
+    assert used[902].most_uses == 0 and all(r.most_uses <= {"hot": 1, "b": 2}.get(r.source, 0) for r in used.values()) and sum(r.drawn_tokens for r in used.values()) == sum(r.token_to - r.token_from for r in drawn)
     packed = M.packed(m.drawn, docs).collect()
     sizes = Counter(len(r.token_ids) for r in packed)
     assert max(sizes) == 32 and sum(v for k, v in sizes.items() if k < 32) <= 4
