@@ -278,9 +278,14 @@ def row_scores(texts: pa.Array) -> list[dict[str, tuple[float, float]]]:
 SCHEMA = "doc_id bigint, " + ", ".join(f"{c}_score double, {c}_peak double" for c in CATEGORIES)
 
 
-def scores(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, <category>_score, <category>_peak) for every document: score for each 1,000 characters, best sentence."""
-    arrow = pa.schema([("doc_id", pa.int64()), *((f"{c}_{k}", pa.float64()) for c in CATEGORIES for k in ("score", "peak"))])
+def scores(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, <category>_score, <category>_peak) for every document: score for each 1,000 characters, best sentence.
+
+    The columns named by `keep` are passed along.
+    """
+    names = ["doc_id", *(f"{c}_{k}" for c in CATEGORIES for k in ("score", "peak")), *keep]
+    kinds = dict(documents.dtypes)
+    schema = ", ".join([SCHEMA, *(f"`{c}` {kinds[c]}" for c in keep)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import pyarrow.compute as pc
@@ -293,10 +298,10 @@ def scores(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                 for c in CATEGORIES:
                     pairs = np.array([f.get(c, (0.0, 0.0)) for f in found]).reshape(-1, 2)
                     cols += [pa.array(np.round(pairs[:, 0] * 1000 / size, 6)), pa.array(np.round(pairs[:, 1], 6))]
-                yield pa.RecordBatch.from_arrays(cols, schema=arrow)
+                yield pa.RecordBatch.from_arrays([*cols, *(batch.column(2 + i).slice(at, len(texts)) for i in range(len(keep)))], names)
 
-    docs = documents.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    return docs.mapInArrow(run, SCHEMA)
+    docs = documents.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"), *(F.col(f"`{c}`").alias(f"_keep_{c}") for c in keep))
+    return docs.mapInArrow(run, schema)
 
 
 def flagged(documents: DataFrame) -> DataFrame:
@@ -307,7 +312,7 @@ def flagged(documents: DataFrame) -> DataFrame:
 
 def rates(documents: DataFrame) -> DataFrame:
     """(source, documents, <category>_documents, <category>_rate, <category>_mean): rates by source; a null source is its own group."""
-    scored = scores(documents).join(documents.select("doc_id", "source"), "doc_id")
+    scored = scores(documents, keep=("source",))
     return scored.groupBy("source").agg(
         F.count(F.lit(1)).alias("documents"),
         *(x for c in CATEGORIES for x in (F.count_if(F.col(f"{c}_peak") >= FOUND).alias(f"{c}_documents"), F.round(F.avg((F.col(f"{c}_peak") >= FOUND).cast("double")), 6).alias(f"{c}_rate"), F.round(F.avg(f"{c}_score"), 6).alias(f"{c}_mean"))),
