@@ -95,6 +95,9 @@ RULES: dict[str, list[Step]] = {
 
 def apply(rule: str | list[Step], text: Column) -> Column:
     """The rule as a Spark expression."""
+    if rule == "label_fixpoint":  # a text that ends in no suffix, as most do, skips the rounds
+        bare = apply(STRIP, text)
+        return F.when(bare.rlike(rf"(?:{DIGIT}|[）)./／])$"), apply(label_fixpoint, text)).otherwise(bare)
     for pattern, repl in RULES[rule] if isinstance(rule, str) else rule:
         text = F.regexp_replace(text, pattern, repl.replace(r"\1", "$1").replace(r"\2", "$2"))
     return F.lower(text) if isinstance(rule, str) and rule in LOWERED else text
