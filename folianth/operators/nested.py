@@ -31,7 +31,6 @@ TOKEN = re.compile(
     r'[ \t\n\r]*(?:([{}\[\],:])|"((?:[^"\\\x00-\x1f]|\\(?:["\\/bfnrt]|u[0-9a-fA-F]{4}))*)"|(-?(?:0|[1-9]\d*)(?:\.\d+)?(?:[eE][+-]?\d+)?(?![\w.+-]))|(true|false|null|NaN|-?Infinity)(?!\w))',
     re.ASCII,
 )
-BLANK = re.compile(r"[ \t\n\r]*")
 TRIPLES = "rec_id bigint, ordinal int, owner_path string, group_path string, parent_path string, key string, value string, kind string"
 ARROW_TRIPLES = pa.schema([
     ("rec_id", pa.int64()), ("ordinal", pa.int32()), ("owner_path", pa.string()), ("group_path", pa.string()),
@@ -198,10 +197,8 @@ def record_triples(text: str | None, root: str | None = None, marker: str | None
         stops = (root, root + ".", root + "[")
         out = [r for r in out if r[1] == stops[0] or r[1].startswith(stops[1:])]
         for r in out:
-            if r[3] and not (r[3] == stops[0] or r[3].startswith(stops[1:])):
-                r[3] = ""
-            elif not r[3]:
-                r[3] = ""
+            if not (r[3] == stops[0] or r[3].startswith(stops[1:])):
+                r[3] = ""  # the enclosing node stands above the root
     return out
 
 
