@@ -13,11 +13,11 @@ from folianth.sources.tables import table
 
 
 def blocks(spark, d):
-    return M.blocks(lines(spark, d))
+    return M.blocks(lines(spark, d, together=True))
 
 
 def markdown_line_kinds(spark, d):
-    return M.kinds(lines(spark, d)).groupBy("doc_id", "kind").agg(F.count(F.lit(1)).alias("n"))
+    return M.kinds(lines(spark, d, together=True)).groupBy("doc_id", "kind").agg(F.count(F.lit(1)).alias("n"))
 
 
 def markdown_to_html(spark, d):
@@ -74,7 +74,7 @@ def _prose():
 def toc_windows(spark, d):
     """From each short line with a word for contents: how many of the next 500 lines belong to the printed contents (eight windows a document)."""
     order = Window.partitionBy("doc_id").orderBy("line_no")
-    rows = lines(spark, d).withColumn("prose", _prose())
+    rows = lines(spark, d, together=True).withColumn("prose", _prose())
     rows = rows.withColumn("third", F.col("prose") & F.coalesce(F.lag("prose", 1).over(order), F.lit(False)) & F.coalesce(F.lag("prose", 2).over(order), F.lit(False))).withColumn("total", F.count(F.lit(1)).over(Window.partitionBy("doc_id")))
     hits = rows.where(F.col("line").rlike(classify.TOC_WORD) & (F.length("line") <= 80)).select("doc_id", F.col("line_no").alias("start"), "total")
     stops = rows.where("third").select("doc_id", F.col("line_no").alias("stop"))
@@ -87,14 +87,14 @@ def toc_windows(spark, d):
 def window_concat(spark, d):
     """Keys of each line with the next: titles that wrap."""
     order = Window.partitionBy("doc_id").orderBy("line_no")
-    rows = lines(spark, d).withColumn("next", F.lead("line").over(order)).where(F.col("next").isNotNull() & (F.length("line") <= 200) & (F.length("next") <= 200))
+    rows = lines(spark, d, together=True).withColumn("next", F.lead("line").over(order)).where(F.col("next").isNotNull() & (F.length("line") <= 200) & (F.length("next") <= 200))
     return rows.select("doc_id", "line_no", rules.apply("key_resolve", F.concat_ws(" ", "line", "next")).alias("key"))
 
 
 def nth_occurrence(spark, d):
     """The second place of every line that comes again in its document."""
     order = Window.partitionBy("doc_id", "line").orderBy("line_no")
-    return lines(spark, d).where(F.length("line") > 0).withColumn("k", F.row_number().over(order)).where("k = 2").select("doc_id", "line", "line_no")
+    return lines(spark, d, together=True).where(F.length("line") > 0).withColumn("k", F.row_number().over(order)).where("k = 2").select("doc_id", "line", "line_no")
 
 
 def cumulative_shift(spark, d):

@@ -15,9 +15,15 @@ ENTRIES_SQL = "entries AS (SELECT entry_id, any_value(book) AS book, any_value(s
 TITLES_SQL = f"{LINES_SQL}, {ENTRIES_SQL}, titles AS (SELECT 'printed' AS src, book AS owner, CAST(line_no AS BIGINT) AS n, line AS title FROM printed_lines UNION ALL SELECT 'label', book, entry_id, label FROM entries UNION ALL SELECT 'line', CAST(doc_id AS VARCHAR), CAST(line_no AS BIGINT), line FROM lines)"
 
 
-def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(doc_id, book, line_no, line) of every document's text."""
-    docs = table(spark, sf_dir, "documents").where(F.col("text").isNotNull())
+def lines(spark: SparkSession, sf_dir: str, together: bool = False) -> DataFrame:
+    """(doc_id, book, line_no, line) of every document's text.
+
+    `together` is for windows over documents: the texts are shuffled before they are cut, which moves fewer and smaller rows
+    than their lines would be, and the windows find their rows in place.
+    """
+    docs = table(spark, sf_dir, "documents").where(F.col("text").isNotNull()).select("doc_id", "book", "text")
+    if together:
+        docs = docs.repartition("doc_id")
     return docs.select("doc_id", "book", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line")).select("doc_id", "book", F.col("line_no").cast("bigint").alias("line_no"), "line")
 
 
