@@ -14,11 +14,20 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nested.node_links(table(spark, sf_dir, "spec_records"), table(spark, sf_dir, "content_blocks"))
 
 
+def entry_triples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nested.triples(table(spark, sf_dir, "spec_records"), "record_id", "body", marker="label", embedded=("children",))
+
+
 def p4_entries_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The entries of all review specs as one flat table with links to their parents."""
-    found = nested.triples(table(spark, sf_dir, "spec_records"), "record_id", "body", marker="label", embedded=("children",))
-    entries = nested.pivot(found, ["label", "search", "exact", "occurrence", "start_file", "max_file", "window", "file", "block", "expect", "printed"])
-    return entries.where(F.col("label").isNotNull())
+    """The entries of all review specs as one flat table with links to their parents; every node is a row, its label may be null."""
+    lists = ["search", "deviation.by[].step"]
+    entries = nested.pivot(entry_triples(spark, sf_dir), ["label", "search", "exact", "occurrence", "start_file", "max_file", "window", "file", "block", "expect", "printed", "deviation.reason", "deviation.by[].step"], lists)
+    return entries.withColumnsRenamed({"deviation.reason": "deviation_reason", "deviation.by[].step": "deviation_steps"})
+
+
+def p4_entry_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every value that stands in an array of an entry, at whatever key: the child table of p4_entries_table."""
+    return nested.elements(entry_triples(spark, sf_dir))
 
 
 def markdown_render(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,7 +53,7 @@ def resolve_search_spec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resolve.resolve(asked, blocks, books)
 
 
-QUERIES = {"p4_found": p4_found, "p4_entries_table": p4_entries_table, "markdown_render": markdown_render, "markdown_parts": markdown_parts, "resolve_search_spec": resolve_search_spec}
+QUERIES = {"p4_found": p4_found, "p4_entries_table": p4_entries_table, "p4_entry_values": p4_entry_values, "markdown_render": markdown_render, "markdown_parts": markdown_parts, "resolve_search_spec": resolve_search_spec}
 #: Nested texts are read by a recursive query, so that the tree walk is the SQL engine's own.
 SQL = {
     "p4_found": """WITH RECURSIVE texts AS (SELECT record_id AS id, '' AS prefix, ltrim(body, chr(65279)) AS j FROM (SELECT DISTINCT record_id, body FROM spec_records) WHERE json_valid(ltrim(body, chr(65279)))

@@ -83,3 +83,18 @@ def test_content_nodes(spark):
     got = {(r.rec_id, r.node_path, r.parent_path) for r in N.node_links(spec, blocks).collect()}
     i = "content.list_items[0]"
     assert got == {(5, i, ""), (5, f"{i}.item_content[0]", i), (5, "content.list_items[1].x", ""), (7, "content[0]", "")}
+
+
+def test_array_elements_and_objects_without_the_marker(spark):
+    body = '{"books":[{"entries":[{"label":"a","search":["y","x",null,2],"deviation":{"reason":"OCR","by":[{"step":3},{"step":4}]},"grid":[[1,2],[3]]},{"label":null,"search":"s"},{"label":"c","search":[],"children":"[{\\"label\\":\\"d\\",\\"search\\":[\\"z\\"]},\\"loose\\"]"},{"label":"e","search":["old"],"search":["new"]}]}]}'
+    df = spark.createDataFrame([(1, body), (1, body)], "record_id bigint, body string")
+    found = N.triples(df, "record_id", "body", marker="label", embedded=("children",))
+    rows = {r.node_path[17:]: r for r in N.pivot(found, ["label", "search", "deviation.reason", "deviation.by[].step"], ["search", "deviation.by[].step"]).collect()}
+    assert {k: (r.label, r.search) for k, r in rows.items()} == {"0]": ("a", ["y", "x", None, "2"]), "1]": (None, ["s"]), "2]": ("c", []), "2].children[0]": ("d", ["z"]), "3]": ("e", ["new"])}
+    assert (rows["0]"]["deviation.reason"], rows["0]"]["deviation.by[].step"]) == ("OCR", ["3", "4"])
+    values = {(r.node_path[17:], r.key, r.place, r.value) for r in N.elements(found).collect()}
+    assert {("0]", "grid", "[0][1]", "2"), ("0]", "grid", "[1][0]", "3"), ("0]", "deviation.by[].step", "[1]", "4"), ("2]", "children", "[1]", "loose"), ("0]", "search", "[2]", None)} < values
+    assert len(values) == 4 + 3 + 2 + 1 + 1 + 1
+    tables = N.flat_tables(df, "record_id", "body", embedded=("children",))
+    assert ["y", "x", None, "2"] in [r.search for r in tables["entries"].select("search").collect()]
+    assert [r[4:] for r in N.record_triples("[5,[true]]", elements=True)] == [["value", "5", "number", "[0]"], ["value", "true", "boolean", "[1][0]"]]
