@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from folianth.functions import classify, rules
 from folianth.functions.rules import as_sql, quoted
 from folianth.operators import markdown as M
+from folianth.operators import ordered
 from folianth.plans.relations import LINES_SQL, lines
 from folianth.sources.tables import table
 
@@ -148,10 +149,16 @@ def source_pick(spark, d):
     return n.groupBy("book").agg(F.min_by("source", F.struct(-F.col("n"), "source")).alias("source"), F.max("n").alias("items"))
 
 
-def job_order(spark, d):
-    """The hundred smallest books first, then by name."""
+def job_order(spark, d, limit=None):
+    """All books, the smallest first, then by name; only the first `limit` if the caller gives one."""
     n = table(spark, d, "content_blocks").where("book IS NOT NULL").dropDuplicates(["block_id"]).groupBy("book").agg(F.sum(F.length("item")).alias("size"))
-    return n.orderBy("size", "book").limit(100)
+    jobs = n.orderBy("size", "book")
+    return jobs.limit(limit) if limit else jobs
+
+
+def job_ranks(spark, d):
+    """Every book with its rank in the order of jobs, from 1."""
+    return ordered.numbered(job_order(spark, d), [], ["size", "book"], F.floor(F.col("size") / ordered.BUCKET), "rank")
 
 
 _ART, _STRIPPED = as_sql("artifact_prefix", "line"), lambda x: as_sql(rules.STRIP, x)
@@ -197,4 +204,4 @@ SQL = {
     "source_pick": f"SELECT book, arg_max(source, (n, -k)) AS source, max(n) AS items FROM (SELECT *, row_number() OVER (PARTITION BY book ORDER BY source) AS k FROM (SELECT book, source, count(*) AS n FROM {_ONCE} WHERE book IS NOT NULL AND source IS NOT NULL GROUP BY book, source)) GROUP BY book",
     "job_order": f"SELECT book, CAST(sum(length(item)) AS BIGINT) AS size FROM {_ONCE} WHERE book IS NOT NULL GROUP BY book ORDER BY size, book LIMIT 100",
 }
-QUERIES = {k: globals()["blocks" if k == "markdown_blocks" else k] for k in SQL}
+QUERIES = {k: globals()["blocks" if k == "markdown_blocks" else k] for k in SQL} | {"job_ranks": job_ranks}
