@@ -5,7 +5,10 @@ look-alikes and accents folded; everything but letters, digits and ideographs dr
 punctuation and quoting don't matter) and all its windows are hashed by one prefix sum and looked up. Hits of one
 document and item are verified: they are merged into pieces along a diagonal (a changed word only interrupts a
 piece), and the pieces that follow the item's order are chained. A document leaks an item if the chain holds at
-least `share` of the item. Pieces give the spans to remove.
+least `share` of the item, however many pieces it is made of; a piece is one window or more. Pieces give the spans to remove.
+
+Stock phrases make chance pieces: a pass before counts, for each gram, the documents that hold it with less than CHANCE
+of its item. A piece whose grams all stand in at least STOCK such documents, and in STOCK_SHARE of all, counts for nothing.
 
 The broadcast is bounded: items are taken in blocks of at most `max_grams` n-grams, each block against all documents.
 Null or empty texts leak nothing; an item without letters is never found; an item under two windows long uses a
@@ -29,10 +32,12 @@ from folianth.llm.codepoints import to_codepoints
 WINDOW_CJK, WINDOW_LATIN = 6, 24
 #: The share of an item that makes a leak (two fifths), less what a changed word hides at the two ends of a piece.
 SHARE, EDGE = 0.4, 0.03
-#: Of that share so much must remain when each piece is shortened by one window: stock phrases make many short pieces.
-SURE = 0.6
-#: A pair is verified from this share of the item's windows on.
-SEED = 0.1
+#: So much of a piece is windows of the item; the rest is changed words.
+DENSE = 0.4
+#: A document with less than this share of an item is no case, so what it has of the item is there by chance.
+CHANCE = 0.2
+#: A gram is a stock phrase if so many documents, and this share of all, hold it by chance.
+STOCK, STOCK_SHARE = 3, 1e-3
 MAX_GRAMS = 4_000_000
 CHUNK = 1_000_000
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
@@ -107,6 +112,7 @@ class Items:
             at = np.concatenate([np.arange(len(p[0]), dtype=np.int32) for p in parts])
             order = np.argsort(h, kind="stable")
             self.grams[n] = h[order], who[order], at[order]
+        self.rare: dict[int, np.ndarray] = {n: np.ones(len(g[0]), bool) for n, g in self.grams.items()}
         self._sieves: dict[int, np.ndarray] = {}
 
     def sieve(self, n: int) -> np.ndarray:
@@ -120,55 +126,66 @@ class Items:
         return self._sieves[n]
 
 
-def pieces(i: np.ndarray, j: np.ndarray, n: int) -> list[tuple[int, int, int, int]]:
-    """Hits (item place, document place), by document place, merged into pieces (i from, i to, j from, j to)."""
+def pieces(i: np.ndarray, j: np.ndarray, n: int, rare: np.ndarray | None = None) -> list[tuple[int, int, int, int]]:
+    """Hits (item place, document place), by document place, merged into pieces (i from, i to, j from, j to).
+
+    A piece without any `rare` hit is made of stock phrases only and left out.
+    """
     gap, shift = (12, 5) if n <= WINDOW_CJK else (60, 18)
     open_: list[list[int]] = []
-    for a, b in zip(i.tolist(), j.tolist()):
-        best = None
-        for p in reversed(open_[-24:]):
-            if -n < a - p[1] <= gap + n and a > p[0] and 0 <= b - p[3] <= gap + n and abs((a - p[1]) - (b - p[3])) <= shift and a >= p[1]:
-                best = p
-                break
-        if best is None:
-            open_.append([a, a, b, b, n])
+    near: dict[int, set[int]] = {}  # open pieces by their last diagonal: a hit is at most `shift` away from its piece
+    for a, b, r in zip(i.tolist(), j.tolist(), [True] * len(i) if rare is None else rare.tolist()):
+        lane, best = (a - b) // (shift + 1), -1
+        for x in (lane - 1, lane, lane + 1):
+            over = []
+            for k in near.get(x, ()):
+                p = open_[k]
+                if b - p[3] > gap + n:
+                    over.append(k)  # hits come by document place: no later one can reach it
+                elif k > best and 0 <= a - p[1] <= gap + n and a > p[0] and b >= p[3] and abs((a - p[1]) - (b - p[3])) <= shift:
+                    best = k
+            if over:
+                near[x].difference_update(over)
+        if best < 0:
+            best = len(open_)
+            open_.append([a, a, b, b, n, r])
         else:
-            best[4] += min(n, max(0, a - best[1]))
-            best[1], best[3] = a, b
-    least = 2 * n if n <= WINDOW_CJK else n + n // 2
-    return [(p[0], p[1] + n, p[2], p[3] + n) for p in open_ if p[1] + n - p[0] >= min(least, n + 2) and p[4] >= 0.4 * (p[1] + n - p[0])]
+            p = open_[best]
+            near[(p[1] - p[3]) // (shift + 1)].discard(best)
+            p[4] += min(n, a - p[1])
+            p[1], p[3], p[5] = a, b, p[5] or r
+        near.setdefault(lane, set()).add(best)
+    return [(p[0], p[1] + n, p[2], p[3] + n) for p in open_ if p[5] and p[4] >= DENSE * (p[1] + n - p[0])]
 
 
 def chain(found: list[tuple[int, int, int, int]]) -> tuple[int, list[tuple[int, int, int, int]]]:
     """The in-order pieces that hold most of the item, and how many of its characters they hold."""
     found = sorted(found, key=lambda p: (p[3], p[1]))
-    best: list[tuple[int, int]] = []
-    for k, p in enumerate(found):
-        top = (p[1] - p[0], -1)
-        for m in range(k):
-            q = found[m]
-            if q[1] < p[1] and q[3] <= p[2] + (q[3] - q[2]) // 2 and q[2] < p[2]:
-                gain = best[m][0] + p[1] - max(p[0], q[1])
-                if gain > top[0]:
-                    top = (gain, m)
-        best.append(top)
-    if not best:
+    if not found:
         return 0, []
-    k = max(range(len(best)), key=lambda x: best[x][0])
-    total, out = best[k][0], []
+    i0, i1, j0, j1 = np.array(found, np.int64).T
+    reach = j1 - (j1 - j0) // 2
+    held, before = i1 - i0, np.full(len(found), -1)
+    for k in range(1, len(found)):
+        gain = np.where((i1[:k] < i1[k]) & (reach[:k] <= j0[k]) & (j0[:k] < j0[k]), held[:k] + i1[k] - np.maximum(i0[k], i1[:k]), -1)
+        m = int(gain.argmax())
+        if gain[m] > held[k]:
+            held[k], before[k] = gain[m], m
+    k = int(held.argmax())
+    total, out = int(held[k]), []
     while k >= 0:
         out.append(found[k])
-        k = best[k][1]
+        k = int(before[k])
     return total, out[::-1]
 
 
-def scan(texts: pa.Array, items: Items, share: float = SHARE) -> Iterator[tuple[int, int, float, list[tuple[int, int]]]]:
-    """(row, item, share held, spans in the row's code points) of every leak in a block of texts."""
+def hits(texts: pa.Array, items: Items) -> tuple[np.ndarray, ...] | None:
+    """(row, item, item place, document place, n of the gram, its index) of all hits, by row, item and document place; then the text's arrays."""
     codes, offsets = to_codepoints(texts)
     chars, rows, places = normalised(codes, offsets)
     if not len(chars):
-        return
-    hits: list[np.ndarray] = []
+        return None
+    found: list[np.ndarray] = []
     for n, (grams, who, at) in items.grams.items():
         h = window_hashes(chars, n)
         flags = items.sieve(n)
@@ -182,21 +199,55 @@ def scan(texts: pa.Array, items: Items, share: float = SHARE) -> Iterator[tuple[
         lo = np.searchsorted(grams, h[ok])
         count = np.searchsorted(grams, h[ok], side="right") - lo
         every = np.repeat(lo, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-        hits.append(np.stack([np.repeat(row, count), who[every], at[every], np.repeat(ok, count)]))
-    if not hits:
-        return
-    row, item, i, j = np.concatenate(hits, axis=1)
-    order = np.lexsort((j, item, row))
-    row, item, i, j = row[order], item[order], i[order], j[order]
+        found.append(np.stack([np.repeat(row, count), who[every], at[every], np.repeat(ok, count), np.full(len(every), n), every]))
+    if not found:
+        return None
+    all_ = np.concatenate(found, axis=1)
+    return *all_[:, np.lexsort((all_[3], all_[1], all_[0]))], offsets, places
+
+
+def pairs(row: np.ndarray, item: np.ndarray, items: Items) -> np.ndarray:
+    """Where each pair of row and item begins, and the end."""
     pair = row.astype(np.int64) * len(items.ids) + item
-    starts = np.flatnonzero(np.concatenate([[True], pair[1:] != pair[:-1]]))
+    return np.flatnonzero(np.concatenate([[True], pair[1:] != pair[:-1], [True]]))
+
+
+def chance(texts: pa.Array, items: Items, counts: dict[int, np.ndarray]) -> None:
+    """Add to `counts` how many texts hold each gram of an item of which they hold less than CHANCE."""
+    got = hits(texts, items)
+    if got is None:
+        return
+    row, item, _, _, n, gram, _, _ = got
+    at = pairs(row, item, items)
+    few = np.diff(at) < CHANCE * (np.array(items.sizes) - np.array(items.windows) + 1)[item[at[:-1]]]
+    keep = np.repeat(few, np.diff(at))
+    for w, into in counts.items():
+        own = keep & (n == w)
+        into += np.bincount(np.unique(np.stack([row[own], gram[own]]), axis=1)[1], minlength=len(into))
+
+
+def scan(texts: pa.Array, items: Items, share: float = SHARE) -> Iterator[tuple[int, int, float, list[tuple[int, int]]]]:
+    """(row, item, share held, spans in the row's code points) of every leak in a block of texts."""
+    got = hits(texts, items)
+    if got is None:
+        return
+    row, item, i, j, n, gram, offsets, places = got
+    rare = np.zeros(len(gram), bool)
+    for w, flags in items.rare.items():
+        rare[n == w] = flags[gram[n == w]]
+    starts = pairs(row, item, items)
+    unusual = np.concatenate([[0], np.cumsum(rare)])
     sizes, windows = np.array(items.sizes), np.array(items.windows)
-    for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(pair)]):
+    for a, b in zip(starts[:-1].tolist(), starts[1:].tolist()):
+        if unusual[a] == unusual[b]:
+            continue
         k = int(item[a])
-        if b - a < SEED * (sizes[k] - windows[k] + 1) or len(np.unique(i[a:b])) < SEED * (sizes[k] - windows[k] + 1):
+        # a hit covers one window, and pieces that cover each other's places can be thinned to two at a place: fewer can't make the share
+        least = DENSE * (share - EDGE) * sizes[k] / windows[k]
+        if b - a < least or len(np.unique(i[a:b])) < least / 2:
             continue
-        held, chained = chain(pieces(i[a:b], j[a:b], int(windows[k])))
-        if held >= (share - EDGE) * sizes[k] and held - int(windows[k]) * len(chained) >= SURE * share * sizes[k]:
+        held, chained = chain(pieces(i[a:b], j[a:b], int(windows[k]), rare[a:b]))
+        if held >= (share - EDGE) * sizes[k]:
             r = int(row[a])
             spans = [(int(places[p[2]] - offsets[r]), int(places[p[3] - 1] - offsets[r]) + 1) for p in chained]
             yield r, items.ids[k], min(1.0, held / sizes[k]), spans
@@ -229,6 +280,29 @@ def item_blocks(items: DataFrame, id_col: str, text_col: str, max_grams: int = M
         yield Items(block)
 
 
+def without_stock(docs: DataFrame, block: Items) -> None:
+    """Mark the grams of a block that are stock phrases of the corpus: one pass, which returns a number for each gram."""
+    shared = docs.sparkSession.sparkContext.broadcast(block)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, n = shared.value, 0
+        counts = {w: np.zeros(len(g[0]), np.int64) for w, g in own.grams.items()}
+        for batch in batches:
+            n += batch.num_rows
+            for _, texts in chunks(batch.column(1)):
+                chance(texts, own, counts)
+        yield pa.RecordBatch.from_pydict({"w": pa.array([0], pa.int32()), "gram": pa.array([0], pa.int32()), "n": pa.array([n], pa.int64())})
+        for w, c in counts.items():
+            at = np.flatnonzero(c)
+            yield pa.RecordBatch.from_pydict({"w": pa.array(np.full(len(at), w), pa.int32()), "gram": pa.array(at, pa.int32()), "n": pa.array(c[at], pa.int64())})
+
+    sums = docs.mapInArrow(count, "w int, gram int, n bigint").groupBy("w", "gram").agg(F.sum("n").alias("n")).where((F.col("w") == 0) | (F.col("n") >= STOCK)).toArrow()
+    w, gram, n = (sums.column(c).to_numpy() for c in ("w", "gram", "n"))
+    stock = n >= max(STOCK, STOCK_SHARE * n[w == 0].sum())
+    for k, flags in block.rare.items():
+        flags[gram[stock & (w == k)]] = False
+
+
 def leaks(documents: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text", share: float = SHARE, max_grams: int = MAX_GRAMS) -> DataFrame:
     """(doc_id, item_id, held, spans): every document that holds at least `share` of an item, and where."""
     spark = documents.sparkSession
@@ -237,6 +311,7 @@ def leaks(documents: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
     arrow = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("held", pa.float64()), ("spans", pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())])))])
     parts = []
     for block in item_blocks(items, item_id, item_text, max_grams):
+        without_stock(docs, block)
         shared = spark.sparkContext.broadcast(block)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:

@@ -37,3 +37,28 @@ def test_windows_find_every_repeat():
             same.setdefault(tuple(chars[k : k + n].tolist()), set()).add(int(h[k]))
         assert all(len(v) == 1 for v in same.values()) and len({x for v in same.values() for x in v}) == len(same)
     assert len(L.window_hashes(chars[:2], 3)) == 0
+
+
+def test_pieces_far_apart_are_added_up(spark):
+    rng = random.Random(9)
+    words = lambda n: " ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6)) for _ in range(n))
+    item, phrase = words(50), words(8)
+    w = item.split()
+    stock = words(20) + " " + phrase + " " + words(12)  # of 40 words, 8 are a stock phrase of the corpus
+    three = [words(60).join(["", " ".join(w[:7]), " ".join(w[20:27]), " ".join(w[40:47]), ""])]  # three runs of 42 letters, 42 % of 300
+    five = [words(60).join(["", *(" ".join(w[k : k + 4]) for k in (0, 10, 20, 30, 40)), ""])]  # five runs of 24 letters: one window each, 40 %
+    third = [words(60).join(["", " ".join(w[:8]), " ".join(w[20:28]), ""])]
+    docs = [*three, *five, *third, *(f"{words(30)} {phrase} {words(30)}" for _ in range(5))]
+    d = spark.createDataFrame(list(enumerate(docs)), "doc_id bigint, text string")
+    i = spark.createDataFrame([(1, item), (2, stock)], "item_id bigint, text string")
+    assert sorted(map(tuple, L.leaked_pairs(d, i).collect())) == [(0, 1), (1, 1)]
+
+
+def test_many_open_pieces_do_not_hide_a_leak():
+    import numpy as np
+
+    # the item repeats one window at 60 places far from the leak: between two windows of the leak 60 other pieces open
+    n = 6
+    far = np.arange(60) * 40 + 1000
+    i, j = np.concatenate([[0], far, [6]]), np.concatenate([[0], np.full(60, 3), [6]])
+    assert (0, 12, 0, 12) in L.pieces(i, j, n)
