@@ -3,7 +3,8 @@
 A weighted lexicon is matched by Aho-Corasick over a folded stream of every text: look-alikes, width, accents and case
 are folded, code points without room dropped, digits and signs inside words read as letters, letters that stand apart
 (`s c u m`, `s.c.u.m`, `做*爱`) joined, and masked words (`b*****d`) looked up by first letter, last letter and length.
-Each entry has a role; within a sentence a role counts once, with its largest weight. Exception phrases (clinical,
+Each entry has a role; within a sentence a role counts once, with its largest weight, but insults add up. An insult is
+addressed by the second person, by a third (`he is a`, `that`, `这个` before it), or by being nearly the whole sentence. Exception phrases (clinical,
 legal, historical or lexical mention, harmless words that contain others) count against the sentence, and a longer
 harmless match hides a shorter one inside it. A sentence that reaches `FOUND` makes the document a case; the score of a
 document is the sum of its sentences' scores for each 1,000 characters of text.
@@ -33,15 +34,16 @@ FOUND = 1.0
 LEXICON: dict[str, dict[str, dict[float, str]]] = {
     "abusive": {
         "insult": {
-            0.6: "idiot* | moron* | imbecile* | cretin* | halfwit* | bastard* | scumbag* | shithead* | dumbass* | jackass* | asshole* | bitch* | dickhead* | retard* | loser* | piece of shit | motherfucker* | 蠢货 | 废物 | 傻叉 | 傻逼 | 混蛋 | 王八蛋 | 狗东西 | 垃圾东西 | 贱货 | 贱人 | 人渣 | 脑残 | 白痴 | 畜生 | 杂种 | 笨蛋 | 败类",
+            0.6: "idiot* | moron* | imbecile* | cretin* | halfwit* | bastard* | scumbag* | shithead* | dumbass* | jackass* | asshole* | bitch* | dickhead* | retard* | loser* | piece of shit | motherfucker* | slut* | whore* | cunt* | wanker* | dipshit* | douchebag* | dimwit* | nitwit* | blockhead* | numbskull* | scoundrel* | son of a bitch | sons of bitches | 蠢猪 | 蠢驴 | 饭桶 | 窝囊废 | 狗杂种 | 狗娘养的 | 婊子 | 骚货 | 荡妇 | 孬种 | 无耻之徒 | 蠢货 | 废物 | 傻叉 | 傻逼 | 混蛋 | 王八蛋 | 狗东西 | 垃圾东西 | 贱货 | 贱人 | 人渣 | 脑残 | 白痴 | 畜生 | 杂种 | 笨蛋 | 败类",
             0.4: "fool | fools | trash | pig | coward | scum | stupid | pathetic | 垃圾 | 蠢 | 恶心",
         },
         "address": {
             0.4: "you worthless | you useless | you stupid | you pathetic | you disgusting | you filthy | you miserable | you brainless | you gutless | you are a | you are an | youre a | shut your mouth | shut up you | listen | 闭嘴吧 | 你给我闭嘴 | 你这辈子都是 | 你这个 | 你就是 | 你真是 | 像你这样的 | 你们这些 | 你这种 | 有些读者就是 | 都比你 | 你个 | 你他妈",
+            0.41: "he is a | hes a | he was a | she is a | shes a | she was a | they are a | they are all | theyre all | he is such a | she is such a | what a | 他是个 | 她是个 | 他就是 | 她就是 | 他真是 | 她真是 | 他们都是 | 她们都是 | 他他妈",
             0.3: "you | your | yours | 你",
         },
         "threat": {
-            1.0: "break your jaw | break your neck | break your face | beats some sense into that | beat some sense into | i will kill you | ill kill you | drop dead | go to hell | shut it for good | slit your throat | hope you die | 去死 | 不得好死 | 弄死你 | 杀了你 | 打死你 | 扇你耳光 | 打断你的 | 砍死你 | 从世上消失 | 连狗都不如",
+            1.0: "break your jaw | break your neck | break your face | beats some sense into that | beat some sense into | fuck you | fuck off | go fuck yourself | screw you | kill yourself | i will rape you | ill rape you | 操你 | 去你妈 | 滚你妈 | i will kill you | ill kill you | drop dead | go to hell | shut it for good | slit your throat | hope you die | 去死 | 不得好死 | 弄死你 | 杀了你 | 打死你 | 扇你耳光 | 打断你的 | 砍死你 | 从世上消失 | 连狗都不如",
             0.5: "get out of my sight | nobody wants you | 滚开 | 别再让我看见你 | 根本不配说话 | 不配活着 | 看不懂还要乱叫 | 都比你有脑子 | everyone here knows it | could believe this chapter and you believed it | should do us all a favour | whoever wrote this is a | 写出这种东西的",
         },
     },
@@ -77,9 +79,13 @@ EXCEPTIONS = {
     "一词 | 诊断术语 | 旧医学文献 | 被骂作 | 治疗师停顿 | 称作害虫的传单 | 仇恨宣传的物证 | 存放在档案室 | 法律同样保护 | 免受歧视 | 性健康教育 | 与咨询师谈论 | 裸体雕像 | 雕像的修复 | 裸眼 | 故事的高潮 | 果园里的害虫 | 要用网隔开 | 废物利用 | 爱心捐赠 | 两个不同的词 | 词典 | 被告 | 判决书 | 史料记载",
 }
 # Harmless words that hide a match inside them.
-HARMLESS = "cocktail | cockpit | peacock | hancock | scunthorpe | assess | assassin | bass | class | embarrass | therapist | shitake | 做爱心 | 性交流 | 性交易法 | 情绪高潮 | 高潮迭起 | 不是人口 | 不是人类 | 不是人工 | 不是人为 | 垃圾分类 | 垃圾桶 | 畜生道 | 害虫防治"
+HARMLESS = "bastard son | bastard sons | bastard child | bastard daughter | 废物处理 | 废物箱 | 废物回收 | 人体操你 | 体操你 | cocktail | cockpit | peacock | hancock | scunthorpe | assess | assassin | bass | class | embarrass | therapist | shitake | 做爱心 | 性交流 | 性交易法 | 情绪高潮 | 高潮迭起 | 不是人口 | 不是人类 | 不是人工 | 不是人为 | 垃圾分类 | 垃圾桶 | 畜生道 | 害虫防治"
 # Digits and signs read as letters inside words.
 LEET = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "+": "t"}
+# Words that address the insult right after them.
+POINTING = "that | this | these | those | 这个 | 那个 | 这帮 | 那帮 | 这群 | 那群 | 他这个 | 她这个"
+#: An insult that makes so much of its sentence's characters is a vocative.
+VOCATIVE = 0.7
 STOPS = "。！？!?；;"
 SEPARATORS = " .-_*·~|/\\'’,"
 BREAK = 1  # stands for a sentence end in the stream
@@ -145,6 +151,10 @@ def automaton():
             for weight, words in weights.items():
                 for w in words.split("|"):
                     add(w, (category, role, weight))
+    for insult in map(str.strip, LEXICON["abusive"]["insult"][0.6].split("|")):
+        for before in map(str.strip, POINTING.split("|")):
+            if before[0].isascii() == insult[0].isascii():
+                add(f"{before} {insult}" if before[0].isascii() else before + insult, ("abusive", "address", 0.4))
     for weight, words in EXCEPTIONS.items():
         for w in words.split("|"):
             add(w, ("exception", "", weight))
@@ -255,13 +265,22 @@ def row_scores(texts: pa.Array) -> list[dict[str, tuple[float, float]]]:
                 for last in {tail, "l" if tail == "i" else tail}:
                     for entry in masks.get((first, last, len(stars) + 2), ()):
                         hits.setdefault(int(sentence[m.start()]), []).append((m.start(), m.end() - 1, entry))
-    for found in hits.values():
+    size_of = np.bincount(sentence, weights=(chars > GAP) & (chars != ord(".")))
+    for number, found in hits.items():
         hidden = [(b, e) for b, e, w in found if w[0] == "harmless"]
         against = sum({(w[0], b): w[2] for b, e, w in found if w[0] == "exception"}.values())
         roles: dict[tuple[str, str], float] = {}
         for b, e, (category, role, weight) in found:
             if role and not any(x <= b and e <= y for x, y in hidden):
                 roles[category, role] = max(roles.get((category, role), 0.0), weight)
+        insults: list[tuple[int, int, float]] = []  # the longest of those that overlap
+        for b, e, (category, role, weight) in sorted(found, key=lambda x: (x[0], -x[1], -x[2][2])):
+            if (category, role) == ("abusive", "insult") and not any(x <= b and e <= y for x, y in hidden) and not (insults and b <= insults[-1][1]):
+                insults.append((b, e, weight))
+        if insults:
+            roles["abusive", "insult"] = sum(w for _, _, w in insults)
+            if max(w for _, _, w in insults) >= 0.6 and sum(e + 1 - b - text.count(" ", b, e + 1) for b, e, _ in insults) >= VOCATIVE * size_of[number]:
+                roles["abusive", "address"] = max(roles.get(("abusive", "address"), 0.0), 0.4)
         r = int(row[found[0][0]])
         sums = {c: sum(v for (k, _), v in roles.items() if k == c) - against for c in CATEGORIES}
         if sums["hateful"] >= FOUND and sums["abusive"] < 1.5 and ("abusive", "threat") not in roles:

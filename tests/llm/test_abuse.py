@@ -33,3 +33,12 @@ def test_queries(spark):
     assert s[1].abusive_score > 30 and s[2].abusive_score == 0 and s[4].sexual_peak == 0
     assert {r.source: r.abusive_documents for r in A.rates(df.dropDuplicates(["doc_id"])).collect()} == {"a": 1, None: 0}
     assert A.flagged(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("text, want", [
+    ("He is a worthless bastard and a filthy scumbag.", ["abusive"]), ("Nobody trusts that scumbag.", ["abusive"]), ("Morning came.\n\nBastard!\n\nNoon came.", ["abusive"]), ("Idiots, imbeciles and cretins ran the mill.", ["abusive"]),
+    ("Fuck you, he said.", ["abusive"]), ("她真是个废物。", ["abusive"]), ("没有人相信那个混蛋说的话。", ["abusive"]), ("人渣！", ["abusive"]),
+    ("He is a bastard son of the duke.", []), ("这个废物处理厂建在河边。", []), ("The scoundrel left the town at dawn without a word to anyone.", []),
+])
+def test_third_person_vocatives_and_several_insults(text, want):
+    assert kinds(text) == want
