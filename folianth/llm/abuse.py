@@ -291,12 +291,12 @@ def sentence_scores(found: list[tuple[int, int, tuple]], clause: np.ndarray, siz
                 insults.append((b, e, weight))
             continue
         seen = words.setdefault((category, role), set())
-        if seen and text[b : e + 1] not in seen and not any(text[b : e + 1] in x for x in seen):
-            extra = SECOND.get((category, role), 0.0)
-            roles[category, role] = max(roles[category, role], weight) if not extra else min(1.0, max(roles[category, role], weight + extra, min(roles[category, role], weight) + extra))
-        else:
-            roles[category, role] = max(roles.get((category, role), 0.0), weight)
-        seen.add(text[b : e + 1])
+        if not any(text[b : e + 1] in x for x in seen):
+            seen.add(text[b : e + 1])
+        roles[category, role] = max(roles.get((category, role), 0.0), weight)
+    for key, extra in SECOND.items():
+        if len(words.get(key, ())) >= 2:
+            roles[key] += extra
     if insults:
         roles["abusive", "insult"] = sum(w for _, _, w in insults)
         for b, e, weight in insults:
