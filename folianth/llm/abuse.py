@@ -125,6 +125,8 @@ ADDRESS = "you | your | youre | yours | he is | hes | he was | she is | shes | s
 NEAR_LATIN, NEAR_CJK, ADDRESSED, SPOKEN_TO = 26, 5, 0.4, 0.2
 #: A word between an address and an insult that makes the insult another's.
 OTHERS = re.compile(r"\b(?:the|his|her|hers|their|theirs|my|our|a man|a woman)\b|他的|她的|我的|那边|旁边")
+#: A context counts from so many characters before the first word of a category to so many after the last.
+NEAR_CONTEXT = 60
 #: What a second word of the same role adds, for contempt and for bodies.
 SECOND = {("hateful", "dehumanise"): 0.3, ("sexual", "body"): 0.3, ("sexual", "act"): 0.3}
 # Digits and signs read as letters inside words.
@@ -277,7 +279,9 @@ MASK = re.compile(r"(?<![a-z*])([a-z])(\*{2,})([a-z])(?![a-z*])|([\u3400-\u9fff]
 def sentence_scores(found: list[tuple[int, int, tuple]], clause: np.ndarray, sizes: np.ndarray, text: str) -> dict[str, float]:
     """Score by category of one sentence from its hits (begin, end, entry)."""
     hidden = [(b, e) for b, e, w in found if w[0] == "harmless"]
-    off: dict[int, float] = {w[1]: w[2] for _, _, w in found if w[0] == "context"}
+    told = [(b, e) for b, e, w in found if w[0] in CATEGORIES and w[1] not in ("target", "intent", "scene")]
+    low, high = min(b for b, _ in told) - NEAR_CONTEXT, max(e for _, e in told) + NEAR_CONTEXT
+    off: dict[int, float] = {w[1]: w[2] for b, e, w in found if w[0] == "context" and e >= low and b <= high}
     addresses = [(b, e) for b, e, w in found if w[0] == "address"]
     spoken_to = any(w[0] == "address" and w[1] for _, _, w in found)
     roles: dict[tuple[str, str], float] = {}

@@ -2,15 +2,17 @@
 
 The items' normalised n-grams are a broadcast hash set. Every document is normalised vectorially (lower case, width,
 look-alikes and accents folded; everything but letters, digits and ideographs dropped, so line breaks, spacing,
-punctuation and quoting don't matter) and all its windows are hashed by one prefix sum and looked up. Hits of one
-document and item are verified: they are merged into pieces along a diagonal (a changed word only interrupts a
-piece), and the pieces that follow the item's order are chained. A document leaks an item if the chain holds at
-least `share` of the item, however many pieces it is made of; a piece is one window or more. Pieces give the spans to remove.
+punctuation and quoting don't matter) and all its windows are hashed by one prefix sum and looked up. Hits are verified: the
+characters of both windows are compared, hits of one document and item are merged into pieces along a diagonal (a changed word only
+interrupts a piece), and the pieces that follow the item's order are chained. A document leaks an item if a chain holds at
+least `share` of the item, however many pieces it is made of; a piece is one window or more. What such a chain takes is set aside
+and the rest is chained again, so every copy of an item gives its spans, and all of them are removed.
 
 Stock phrases make chance pieces: a pass before counts, for each gram, the documents that hold it with less than CHANCE
 of its item. A piece whose grams all stand in at least STOCK such documents, and in STOCK_SHARE of all, counts for nothing.
 
-The broadcast is bounded: items are taken in blocks of at most `max_grams` n-grams, each block against all documents.
+The broadcast is bounded by `max_grams`. More grams than that are never broadcast: a bit map of their hashes sieves the windows in
+the scan, and the few windows that pass meet the grams in a join on the characters themselves. Both ways give the same rows.
 Null or empty texts leak nothing; an item without letters is never found; an item under two windows long uses a
 window of half its length; equal items are reported each; texts are scanned whole, of any length.
 """
@@ -18,7 +20,7 @@ window of half its length; equal items are reported each; texts are scanned whol
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache, reduce
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +28,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folianth.llm.canonical import tables
-from folianth.llm.codepoints import to_codepoints
+from folianth.llm.codepoints import from_codepoints, to_codepoints
+from folianth.sources.tables import written
 
 #: Window in characters for texts of ideographs and for texts of letters.
 WINDOW_CJK, WINDOW_LATIN = 6, 24
@@ -93,6 +96,7 @@ class Items:
 
     def __init__(self, rows: list[tuple[int, str]]):
         self.ids, self.sizes, self.windows = [], [], []
+        texts: list[np.ndarray] = []
         per: dict[int, list[tuple[np.ndarray, int]]] = {}
         for item_id, text in rows:
             codes, offsets = to_codepoints(pa.array([text or ""]))
@@ -105,6 +109,9 @@ class Items:
             self.ids.append(item_id)
             self.sizes.append(len(chars))
             self.windows.append(n)
+            texts.append(chars)
+        self.chars = np.concatenate(texts) if texts else np.zeros(0, np.uint32)
+        self.begins = np.concatenate([[0], np.cumsum(self.sizes)]).astype(np.int64)
         self.grams: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
         for n, parts in per.items():
             h = np.concatenate([p[0] for p in parts])
@@ -199,7 +206,13 @@ def hits(texts: pa.Array, items: Items) -> tuple[np.ndarray, ...] | None:
         lo = np.searchsorted(grams, h[ok])
         count = np.searchsorted(grams, h[ok], side="right") - lo
         every = np.repeat(lo, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-        found.append(np.stack([np.repeat(row, count), who[every], at[every], np.repeat(ok, count), np.full(len(every), n), every]))
+        row, ok = np.repeat(row, count), np.repeat(ok, count)
+        same = np.ones(len(every), bool)
+        start = items.begins[who[every]] + at[every]
+        for k in range(n):  # one hash may stand for two windows
+            same &= items.chars[start + k] == chars[ok + k]
+        every, row, ok = every[same], row[same], ok[same]
+        found.append(np.stack([row, who[every], at[every], ok, np.full(len(every), n), every]))
     if not found:
         return None
     all_ = np.concatenate(found, axis=1)
@@ -226,8 +239,25 @@ def chance(texts: pa.Array, items: Items, counts: dict[int, np.ndarray]) -> None
         into += np.bincount(np.unique(np.stack([row[own], gram[own]]), axis=1)[1], minlength=len(into))
 
 
+def copies(i: np.ndarray, j: np.ndarray, n: int, size: int, rare: np.ndarray, share: float) -> list[tuple[int, list[tuple[int, int, int, int]]]]:
+    """(characters held, pieces) of every chain that holds the share of an item, the fullest first; no two of them overlap in the text."""
+    # a hit covers one window, and pieces that cover each other's places can be thinned to two at a place: fewer can't make the share
+    least = DENSE * (share - EDGE) * size / n
+    if len(i) < least or len(np.unique(i)) < least / 2 or not rare.any():
+        return []
+    left, out = pieces(i, j, n, rare), []
+    while left:
+        held, chained = chain(left)
+        if held < (share - EDGE) * size:
+            break
+        out.append((held, chained))
+        taken = set(chained)
+        left = [p for p in left if p not in taken and not any(p[2] < q[3] and q[2] < p[3] for q in chained)]
+    return out
+
+
 def scan(texts: pa.Array, items: Items, share: float = SHARE) -> Iterator[tuple[int, int, float, list[tuple[int, int]]]]:
-    """(row, item, share held, spans in the row's code points) of every leak in a block of texts."""
+    """(row, item, share held, spans in the row's code points) of every copy of an item in a block of texts."""
     got = hits(texts, items)
     if got is None:
         return
@@ -237,20 +267,12 @@ def scan(texts: pa.Array, items: Items, share: float = SHARE) -> Iterator[tuple[
         rare[n == w] = flags[gram[n == w]]
     starts = pairs(row, item, items)
     unusual = np.concatenate([[0], np.cumsum(rare)])
-    sizes, windows = np.array(items.sizes), np.array(items.windows)
     for a, b in zip(starts[:-1].tolist(), starts[1:].tolist()):
         if unusual[a] == unusual[b]:
             continue
-        k = int(item[a])
-        # a hit covers one window, and pieces that cover each other's places can be thinned to two at a place: fewer can't make the share
-        least = DENSE * (share - EDGE) * sizes[k] / windows[k]
-        if b - a < least or len(np.unique(i[a:b])) < least / 2:
-            continue
-        held, chained = chain(pieces(i[a:b], j[a:b], int(windows[k]), rare[a:b]))
-        if held >= (share - EDGE) * sizes[k]:
-            r = int(row[a])
-            spans = [(int(places[p[2]] - offsets[r]), int(places[p[3] - 1] - offsets[r]) + 1) for p in chained]
-            yield r, items.ids[k], min(1.0, held / sizes[k]), spans
+        k, r = int(item[a]), int(row[a])
+        for held, chained in copies(i[a:b], j[a:b], items.windows[k], items.sizes[k], rare[a:b], share):
+            yield r, items.ids[k], min(1.0, held / items.sizes[k]), [(int(places[p[2]] - offsets[r]), int(places[p[3] - 1] - offsets[r]) + 1) for p in chained]
 
 
 def chunks(texts: pa.Array, limit: int = CHUNK) -> Iterator[tuple[int, pa.Array]]:
@@ -266,22 +288,19 @@ def chunks(texts: pa.Array, limit: int = CHUNK) -> Iterator[tuple[int, pa.Array]
         at = to
 
 
-def item_blocks(items: DataFrame, id_col: str, text_col: str, max_grams: int = MAX_GRAMS) -> Iterator[Items]:
-    """Items in blocks of at most `max_grams` n-grams (an item has no more windows than characters)."""
-    block: list[tuple[int, str]] = []
-    size = 0
-    for r in items.where(F.length(text_col) > 0).select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).distinct().orderBy("id").toLocalIterator():
-        if block and size + len(r["text"]) > max_grams:
-            yield Items(block)
-            block, size = [], 0
-        block.append((r["id"], r["text"]))
-        size += len(r["text"])
-    if block:
-        yield Items(block)
+def _asked(items: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return items.where(F.length(F.col(f"`{text_col}`")) > 0).select(F.col(f"`{id_col}`").cast("bigint").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text")).distinct()
+
+
+def block_of(asked: DataFrame, max_grams: int) -> Items | None:
+    """The items as one block, or None if they may have more than `max_grams` n-grams (an item has no more windows than characters)."""
+    if (asked.agg(F.sum(F.length("text")).alias("n")).collect()[0]["n"] or 0) > max_grams:
+        return None
+    return Items([(r["id"], r["text"]) for r in asked.orderBy("id", "text").toLocalIterator()])
 
 
 def without_stock(docs: DataFrame, block: Items) -> None:
-    """Mark the grams of a block that are stock phrases of the corpus: one pass, which returns a number for each gram."""
+    """Mark the grams of a block that are stock phrases of the corpus: one pass, which returns a number for each gram of the block."""
     shared = docs.sparkSession.sparkContext.broadcast(block)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -303,30 +322,111 @@ def without_stock(docs: DataFrame, block: Items) -> None:
         flags[gram[stock & (w == k)]] = False
 
 
+LEAKS = "doc_id bigint, text_hash bigint, item_id bigint, held double, spans array<struct<start:int,stop:int>>"
+ARROW_LEAKS = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("item_id", pa.int64()), ("held", pa.float64()), ("spans", pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())])))])
+WINDOWS = "doc_id bigint, text_hash bigint, n int, chars string, j int, start int, stop int"
+GRAMS = "item_id bigint, size int, n int, chars string, i int, h bigint"
+
+
+def _documents(documents: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    text = F.col(f"`{text_col}`").cast("string")
+    return documents.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_hash"))
+
+
+def _spelled(chars: np.ndarray, at: np.ndarray, n: int) -> pa.Array:
+    """The windows of n characters at the given places, as texts."""
+    flat = chars[(at[:, None] + np.arange(n)).ravel()] if len(at) else np.zeros(0, np.uint32)
+    return from_codepoints(flat, np.arange(len(at) + 1, dtype=np.int64) * n)
+
+
+def gram_rows(asked: DataFrame) -> DataFrame:
+    """(item_id, size, n, chars, i, h) of every n-gram of the items."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for item, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                one = Items([(item, text)])
+                for n, (h, _, at) in one.grams.items():
+                    cols = [np.full(len(h), item, np.int64), np.full(len(h), one.sizes[0], np.int32), np.full(len(h), n, np.int32)]
+                    yield pa.RecordBatch.from_arrays([*map(pa.array, cols), _spelled(one.chars, at, n), pa.array(at), pa.array(h.view(np.int64))], ["item_id", "size", "n", "chars", "i", "h"])
+
+    return asked.mapInArrow(run, GRAMS)
+
+
+def bit_map(grams: DataFrame, most: int) -> np.ndarray:
+    """One bit for each value of the low bits of the grams' hashes; its size follows the number of grams up to 32 MB."""
+    bits = min(28, max(16, int(most).bit_length() + 4))
+    low = F.col("h").bitwiseAND(F.lit((1 << bits) - 1))
+    words = grams.select(F.shiftright(low, 6).alias("word"), F.expr("shiftleft(1L, cast(h & 63 as int))").alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
+    out = np.zeros(1 << bits >> 6, np.uint64)
+    out[words.column("word").to_numpy()] = words.column("bits").to_numpy().view(np.uint64)
+    return out
+
+
+def joined_leaks(docs: DataFrame, asked: DataFrame, share: float) -> DataFrame:
+    """The leaks of any number of items: sieved windows meet the grams in a join on their characters; LEAKS."""
+    spark = docs.sparkSession
+    grams = written(gram_rows(asked), "leak-grams")
+    sizes = sorted(r["n"] for r in grams.select("n").distinct().collect())  # at most as many as the longest window
+    shared = spark.sparkContext.broadcast((bit_map(grams, grams.count()), sizes))
+
+    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        flags, lengths = shared.value
+        mask = np.uint64(len(flags) * 64 - 1)
+        for batch in batches:
+            for at, texts in chunks(batch.column(1)):
+                codes, offsets = to_codepoints(texts)
+                chars, rows, places = normalised(codes, offsets)
+                for n in lengths:
+                    h = window_hashes(chars, n)
+                    low = h & mask
+                    ok = np.flatnonzero((flags[low >> np.uint64(6)] >> (low & np.uint64(63))) & np.uint64(1))
+                    row = np.searchsorted(rows, ok, side="right") - 1
+                    inside = ok + n <= rows[row + 1]
+                    ok, row = ok[inside], row[inside]
+                    if len(ok):
+                        take = pa.array(row + at)
+                        local = (places[ok] - offsets[row]).astype(np.int32), (places[ok + n - 1] - offsets[row] + 1).astype(np.int32)
+                        yield pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(2).take(take), pa.array(np.full(len(ok), n, np.int32)), _spelled(chars, ok, n), pa.array((ok - rows[row]).astype(np.int32)), *map(pa.array, local)], ["doc_id", "text_hash", "n", "chars", "j", "start", "stop"])
+
+    met = written(docs.mapInArrow(windows, WINDOWS).distinct().join(grams.drop("h"), ["n", "chars"]).drop("chars"), "leak-hits")
+    pair = ["doc_id", "text_hash", "item_id"]
+    few = met.groupBy(*pair).agg(F.count(F.lit(1)).alias("c"), F.first("size").alias("s"), F.first("n").alias("w")).where(F.col("c") < CHANCE * (F.col("s") - F.col("w") + 1)).select(*pair)
+    often = met.join(few, pair, "left_semi").select(*pair, "i").distinct().groupBy("item_id", "i").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= max(STOCK, STOCK_SHARE * docs.count())).select("item_id", "i", F.lit(False).alias("rare"))
+    rows = met.join(often, ["item_id", "i"], "left").groupBy(*pair, "size", "n").agg(F.array_sort(F.collect_list(F.struct("j", "i", "start", "stop", F.coalesce("rare", F.lit(True)).alias("rare")))).alias("hits"))
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for doc, text, item, size, n, found in zip(*(c.to_pylist() for c in batch.columns)):
+                i, j = (np.array([x[k] for x in found]) for k in "ij")
+                first, last = {x["j"]: x["start"] for x in found}, {x["j"] + n: x["stop"] for x in found}
+                for held, chained in copies(i, j, n, size, np.array([x["rare"] for x in found]), share):
+                    out.append((doc, text, item, min(1.0, held / size), [{"start": first[p[2]], "stop": last[p[3]]} for p in chained]))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), ARROW_LEAKS)], schema=ARROW_LEAKS)
+
+    return rows.mapInArrow(judge, LEAKS)
+
+
 def leaks(documents: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text", share: float = SHARE, max_grams: int = MAX_GRAMS) -> DataFrame:
-    """(doc_id, item_id, held, spans): every document that holds at least `share` of an item, and where."""
-    spark = documents.sparkSession
-    docs = documents.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    schema = "doc_id bigint, item_id bigint, held double, spans array<struct<start:int,stop:int>>"
-    arrow = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("held", pa.float64()), ("spans", pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())])))])
-    parts = []
-    for block in item_blocks(items, item_id, item_text, max_grams):
-        without_stock(docs, block)
-        shared = spark.sparkContext.broadcast(block)
-
-        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            own = shared.value
-            for batch in batches:
-                ids = batch.column(0)
-                for at, texts in chunks(batch.column(1)):
-                    out = [(ids[at + r].as_py(), k, held, [{"start": a, "stop": b} for a, b in spans]) for r, k, held, spans in scan(texts, own, share)]
-                    if out:
-                        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), arrow)], schema=arrow)
-
-        parts.append(docs.mapInArrow(run, schema))
-    if not parts:
-        return spark.createDataFrame([], schema)
-    return reduce(DataFrame.unionByName, parts)
+    """(doc_id, text_hash, item_id, held, spans): every copy of at least `share` of an item in a document, and where it stands."""
+    docs, asked = _documents(documents, id_col, text_col), _asked(items, item_id, item_text)
+    block = block_of(asked, max_grams)
+    if block is None:
+        return joined_leaks(docs, asked, share)
+    without_stock(docs, block)
+    shared = docs.sparkSession.sparkContext.broadcast(block)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = shared.value
+        for batch in batches:
+            for at, texts in chunks(batch.column(1)):
+                out = [(batch.column(0)[at + r].as_py(), batch.column(2)[at + r].as_py(), k, held, [{"start": a, "stop": b} for a, b in spans]) for r, k, held, spans in scan(texts, own, share)]
+                if out:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), ARROW_LEAKS)], schema=ARROW_LEAKS)
+
+    return docs.mapInArrow(run, LEAKS)
 
 
 def leaked_pairs(documents: DataFrame, items: DataFrame) -> DataFrame:
@@ -334,23 +434,60 @@ def leaked_pairs(documents: DataFrame, items: DataFrame) -> DataFrame:
     return leaks(documents, items).select("doc_id", "item_id").distinct()
 
 
-def without_leaks(documents: DataFrame, items: DataFrame, drop_from: float = 0.5) -> DataFrame:
-    """(doc_id, text, removed_chars, leaked_items): documents with leaked spans cut out.
+def cut_out(text: str, spans: list[tuple[int, int]]) -> str:
+    """The text without the spans, which may overlap."""
+    out, at = [], 0
+    for a, b in sorted(spans):
+        out.append(text[at : max(a, at)])
+        at = max(at, b)
+    return "".join([*out, text[at:]])
+
+
+CLEANED = "doc_id bigint, text string, removed_chars int, leaked_items array<bigint>"
+ARROW_CLEANED = pa.schema([("doc_id", pa.int64()), ("text", pa.string()), ("removed_chars", pa.int32()), ("leaked_items", pa.list_(pa.int64()))])
 
-    A document of which the spans make at least `drop_from` is dropped. Only documents that leak are shuffled to
-    meet their spans; all others pass by a broadcast-free anti join on the id.
+
+def _cleaned(ids: list, texts: list, found: dict[int, list[tuple[int, list[tuple[int, int]]]]], drop_from: float) -> pa.RecordBatch:
+    """The rows of a batch, cut by what was found in each (item, spans)."""
+    out = []
+    for r, (doc, text) in enumerate(zip(ids, texts)):
+        if r not in found:
+            out.append((doc, text, 0, None))
+            continue
+        short = cut_out(text, [s for _, spans in found[r] for s in spans])
+        if len(text) - len(short) < drop_from * len(text):
+            out.append((doc, short, len(text) - len(short), sorted({k for k, _ in found[r]})))
+    cols = list(zip(*out)) if out else [[] for _ in ARROW_CLEANED]
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, ARROW_CLEANED)], schema=ARROW_CLEANED)
+
+
+def without_leaks(documents: DataFrame, items: DataFrame, drop_from: float = 0.5, max_grams: int = MAX_GRAMS) -> DataFrame:
+    """(doc_id, text, removed_chars, leaked_items): documents with every leaked span cut out.
+
+    A document of which the spans make at least `drop_from` is dropped. The scan that finds the spans also cuts them: no text is
+    shuffled. Only where the items are too many for a broadcast the spans, found by a join, meet the texts afterwards.
     """
-    by_doc = leaks(documents, items).groupBy("doc_id").agg(F.flatten(F.collect_list("spans")).alias("spans"), F.sort_array(F.collect_set("item_id")).alias("leaked_items"))
-    joined = documents.select("doc_id", "text").join(by_doc, "doc_id", "left")
-    spans = F.array_sort("spans")
-    kept = F.aggregate(
-        spans,
-        F.struct(F.lit(1).alias("at"), F.lit("").alias("text")),
-        lambda acc, s: F.when(s["stop"] + 1 <= acc["at"], acc).otherwise(
-            F.struct((s["stop"] + 1).alias("at"), F.concat(acc["text"], F.substring(F.col("text"), acc["at"], F.greatest(s["start"] + 1 - acc["at"], F.lit(0)))).alias("text"))
-        ),
-    )
-    cut = F.when(F.col("spans").isNull(), F.col("text")).otherwise(F.concat(kept["text"], F.substring(F.col("text"), kept["at"], F.length("text"))))
-    out = joined.select("doc_id", F.col("text").alias("whole"), cut.alias("text"), "leaked_items")
-    out = out.withColumn("removed_chars", F.coalesce(F.length("whole") - F.length("text"), F.lit(0)))
-    return out.where((F.col("removed_chars") == 0) | (F.col("removed_chars") < drop_from * F.length("whole"))).select("doc_id", "text", "removed_chars", "leaked_items")
+    docs, asked = _documents(documents, "doc_id", "text"), _asked(items, "item_id", "text")
+    block = block_of(asked, max_grams)
+    if block is None:
+        spans = written(joined_leaks(docs, asked, SHARE).groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("item_id", "spans")).alias("found")), "leak-spans")  # its size is known when the texts meet it
+
+        def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                found = {r: [(x["item_id"], [(s["start"], s["stop"]) for s in x["spans"]]) for x in f] for r, f in enumerate(b.column(2).to_pylist()) if f}
+                yield _cleaned(b.column(0).to_pylist(), b.column(1).to_pylist(), found, drop_from)
+
+        return docs.join(spans, ["doc_id", "text_hash"], "left").select("doc_id", "text", "found").mapInArrow(cut, CLEANED)
+    without_stock(docs, block)
+    shared = docs.sparkSession.sparkContext.broadcast(block)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = shared.value
+        for batch in batches:
+            for at, texts in chunks(batch.column(1)):
+                found: dict[int, list] = {}
+                for r, k, _, spans in scan(texts, own):
+                    found.setdefault(r, []).append((k, spans))
+                yield _cleaned(batch.column(0).slice(at, len(texts)).to_pylist(), texts.to_pylist(), found, drop_from)
+
+    return docs.mapInArrow(run, CLEANED)

@@ -1,11 +1,16 @@
 """Problem 5: clean text from values that carry HTML, Markdown, wiki or LaTeX markup.
 
-A value is parsed into a DOM (tags with implied ends; escaped tags are unescaped first). For every node the
-composite text density is computed: characters per tag, adjusted by the characters and tags of links. The sum of
-the child densities picks the subtree with the most content; the lowest density on its path to the body is the
-threshold for further subtrees. Tables, lists, code and formulas are never split: they count as one unit. The kept
-subtrees are written as text: rows as `a | b`, list items as `- x`, code between backticks, formulas between `$`.
-Markup that is no HTML (Markdown, wiki, LaTeX tables) is rewritten to the same forms.
+A value is parsed into a DOM (tags with implied ends; escaped tags are unescaped until nothing changes). For every node the
+composite text density is computed: characters per tag, adjusted by the characters and tags of links. Text and inline
+elements beside blocks make a paragraph of their own. The node with the largest sum of its children's densities is the subtree with
+the content; the lowest density on its path to the body is the threshold for everything else: a subtree outside is kept at or above
+it, and inside a part that carries links is kept only at or above it, so that a list of links goes wherever it stands.
+
+Tables, lists, code and formulas are one unit: their own tags are structure and not counted, only the tags of their links are. A
+part without any link is never dropped from the subtree, as short cells and headings have few characters but say something. A heading
+or caption stands or falls with what follows it. Kept subtrees are written as text: rows as `a | b`, list items as `- x`, code
+between backticks, formulas between `$`. Which kinds of markup a value holds is told from the parse: tags and entities seen by it,
+and the signs of the other kinds in its text nodes. Markup that is no HTML is rewritten to the same forms.
 
 Null gives null text and no kinds; the empty text gives the empty text; unclosed or crossed tags are closed where
 their parent ends; whole values are processed, of any length.
@@ -33,6 +38,7 @@ ELEMENTS = frozenset(
 VOID = frozenset("br hr img input meta link col wbr".split())
 BLOCKS = frozenset("p div section article main header footer blockquote pre table ul ol dl h1 h2 h3 h4 h5 h6 figure figcaption address body".split())
 UNITS = frozenset("table ul ol dl pre code math blockquote".split())
+HEADS = frozenset("h1 h2 h3 h4 h5 h6 caption figcaption".split())
 DROPPED = frozenset("script style head template noscript".split())
 #: An opening tag of the key ends open elements of the value, up to the enclosing one named after `|`.
 ENDS = {
@@ -76,20 +82,18 @@ def _is_entity(m: re.Match) -> bool:
     return name[0] == "#" or name + ";" in html5
 
 
-def has_html(text: str) -> bool:
-    return ("<" in text and any(_is_tag(m) for m in TAG.finditer(text))) or ("&" in text and any(_is_entity(m) for m in ENTITY.finditer(text)))
-
-
 def unescaped(text: str) -> str:
-    """Escaped tags become tags; a value that holds real tags keeps its entities for the DOM."""
-    for _ in range(3):
+    """Escaped tags become tags, however often they are escaped; a value that holds real tags keeps its entities for the DOM."""
+    while True:
         if "&" not in text or any(_is_tag(m) for m in TAG.finditer(text)):
             return text
         plain = html.unescape(text)
         if not any(_is_tag(m) for m in TAG.finditer(plain)) and not (ENTITY.search(plain) and plain != text):
             return text
         text = plain
-    return text
+
+
+HEAD = re.compile(r"h[1-6]$")
 
 
 class Node:
@@ -103,13 +107,14 @@ class Node:
         self.density = self.total = 0.0
 
 
-def dom(text: str) -> Node:
-    """The tree of a value below a body node; ends that match nothing are ignored."""
-    root = Node("body", None)
+def dom(text: str) -> tuple[Node, bool]:
+    """The tree of a value below a body node, and whether any tag was seen; ends that match nothing are ignored."""
+    root, seen = Node("body", None), False
     at, pos, skip = root, 0, ""
     for m in TAG.finditer(text):
         if not _is_tag(m):
             continue
+        seen = True
         if pos < m.start() and not skip:
             at.parts.append(html.unescape(text[pos : m.start()]))
         pos = m.end()
@@ -142,7 +147,7 @@ def dom(text: str) -> Node:
             at = node
     if pos < len(text) and not skip:
         at.parts.append(html.unescape(text[pos:]))
-    return root
+    return root, seen
 
 
 def _ordered(root: Node) -> list[Node]:
@@ -153,62 +158,78 @@ def _ordered(root: Node) -> list[Node]:
     return out
 
 
-def densities(root: Node) -> None:
-    """Composite text density of every node, and the sum of the densities of its children."""
+def with_paragraphs(root: Node) -> None:
+    """Runs of text and inline elements beside blocks of the body become paragraphs of their own."""
+    if not any(isinstance(p, Node) and p.tag in BLOCKS for p in root.parts):
+        return
+    parts: list = []
+    for p in root.parts:
+        if isinstance(p, Node) and p.tag in BLOCKS:
+            parts.append(p)
+            continue
+        if not parts or parts[-1].tag != "":
+            parts.append(Node("", root))
+        parts[-1].parts.append(p)
+        if isinstance(p, Node):
+            p.parent = parts[-1]
+    root.parts = [p for p in parts if p.tag or any(isinstance(x, Node) or x.strip() for x in p.parts)]
+
+
+def densities(root: Node) -> list[Node]:
+    """Composite text density of every node, and the sum of the densities of its children; the nodes, parents first."""
     nodes = _ordered(root)
     for node in reversed(nodes):
         kids = [p for p in node.parts if isinstance(p, Node)]
         node.chars = sum(len(p.strip()) for p in node.parts if isinstance(p, str)) + sum(k.chars for k in kids)
-        node.tags = sum(k.tags + 1 for k in kids)
         node.link_chars = node.chars if node.tag == "a" else sum(k.link_chars for k in kids)
         node.link_tags = sum(k.link_tags + (k.tag == "a") for k in kids)
-    body_ratio = root.link_chars / max(root.chars, 1)
+        # the tags inside a unit are structure; only its links weigh on it
+        node.tags = node.link_tags if node.tag in UNITS else sum(k.tags + 1 for k in kids)
+    link_ratio = root.link_chars / max(root.chars, 1)
     for node in nodes:
         c, t, lc, lt = node.chars, max(node.tags, 1), max(node.link_chars, 1), max(node.link_tags, 1)
-        base = math.log(c / max(c - node.link_chars, 1) * node.link_chars + body_ratio * c + math.e)
-        node.density = 0.0 if not c else c / t * (math.log(max(c / lc * t / lt, 1.0) + 1e-9) / math.log(base) if base > 1 else math.log(max(c / lc * t / lt, 1.0) + 1e-9) + 1)
+        if c:
+            base = math.log(c / max(c - node.link_chars, 1) * node.link_chars + link_ratio * c + math.e)
+            node.density = c / t * math.log(max(c / lc * t / lt, 1.0)) / math.log(max(base, 1.0 + 1e-9) + 1.0)
     for node in nodes:
         node.total = sum(p.density for p in node.parts if isinstance(p, Node))
+    return nodes
 
 
 def content(root: Node) -> list[Node]:
-    """The subtrees that hold the content: the one with the largest sum, and others at or above its path's threshold."""
-    densities(root)
-    inside: set[int] = set()
-    open_nodes = []
-    for node in _ordered(root):
-        if node.parent is not None and (id(node.parent) in inside or node.parent.tag in UNITS):
-            inside.add(id(node))
-        else:
-            open_nodes.append(node)
-    best = max(open_nodes, key=lambda n: (n.total, n is root))
-    if best is root or best.total <= 0 or any(isinstance(p, str) and p.strip() for p in root.parts):
-        return [root]
-    threshold, up = best.density, best
-    while up is not None:
-        threshold = min(threshold, up.density)
-        up = up.parent
-    kept: list[Node] = []
-    covered: set[int] = set()
-    for node in open_nodes[1:]:
-        if id(node.parent) in covered:
-            covered.add(id(node))
-        elif node.density >= threshold and (node is best or best.parent is None or not _above(node, best)) or node.tag in UNITS:
-            kept.append(node)
-            covered.add(id(node))
-    return kept or [root]
-
-
-def _above(node: Node, other: Node) -> bool:
-    up = other.parent
+    """The subtrees that hold the content, in order; parts that the densities drop are taken out of them."""
+    with_paragraphs(root)
+    nodes = densities(root)
+    hidden = {id(root): False}  # below a unit or an inline element nothing is weighed on its own
+    for node in nodes[1:]:
+        hidden[id(node)] = hidden[id(node.parent)] or node.parent.tag in UNITS or node.parent.tag not in BLOCKS
+    weighed = [n for n in nodes if not hidden[id(n)]]
+    best = max(weighed, key=lambda n: (n.total, n is root))
+    path = {id(best)}
+    threshold, up = best.density, best.parent
     while up is not None:
-        if up is node:
-            return True
-        up = up.parent
-    return False
-
-
-HEAD = re.compile(r"h[1-6]$")
+        path.add(id(up))
+        threshold, up = min(threshold, up.density), up.parent
+    inside = {id(best)}
+    dropped: set[int] = set()
+    for node in weighed:
+        if node.parent is None or id(node) in path or node.tag not in BLOCKS | UNITS | {""}:
+            continue
+        if id(node.parent) in dropped:
+            dropped.add(id(node))
+            continue
+        if id(node.parent) in inside:
+            inside.add(id(node))
+        follower = node
+        if node.tag in HEADS:  # a heading goes with what follows it
+            kin = [p for p in node.parent.parts if isinstance(p, Node)]
+            follower = next((k for k in kin[kin.index(node) + 1 :] if k.tag not in HEADS), node)
+        linked = follower.link_tags > 0 or follower.tag == "a"
+        if follower.density < threshold and (linked or id(node) not in inside and follower.tag not in UNITS and id(node.parent) not in path):
+            dropped.add(id(node))
+    for node in weighed:
+        node.parts = [p for p in node.parts if not (isinstance(p, Node) and id(p) in dropped)]
+    return [root]
 
 
 def render(node: Node) -> str:
@@ -238,7 +259,7 @@ def render(node: Node) -> str:
                 text = f"^{text.strip()}" if len(text.strip()) == 1 else f"^{{{text.strip()}}}"
             elif HEAD.match(n.tag):
                 text = f"\n{'#' * int(n.tag[1])} {text.strip()}\n"
-            elif n.tag in BLOCKS or n.tag in ("dt", "dd", "caption"):
+            elif n.tag in BLOCKS or n.tag in ("", "dt", "dd", "caption"):
                 text = "\n" + text.strip(" ") + "\n"
         done[id(n)] = text
     return done[id(node)]
@@ -307,17 +328,31 @@ def markdown_text(text: str) -> str:
     return re.sub(r"(?<![\w*\\])\*(?=[^\s*])([^*\n{}\\]*?)(?<=[^\s*])\*(?![\w*])", r"\1", text)
 
 
+def text_nodes(root: Node) -> str:
+    """The texts of all nodes of a parse, each on a line of its own."""
+    out: list[str] = []
+    stack: list = [root]
+    while stack:
+        part = stack.pop()
+        if isinstance(part, str):
+            out.append(part)
+        else:
+            stack += reversed(part.parts)
+    return "\n".join(out)
+
+
 def read(value: str) -> tuple[str, list[str]]:
     """(clean text, kinds of markup) of one value."""
-    kinds = []
-    text = value
-    if has_html(text):
-        kinds.append("html")
-        text = tidy("\n".join(render(n) for n in content(dom(unescaped(text)))))
-    bare = TAG.sub(lambda m: "\n" if _is_tag(m) else m.group(0), unescaped(value)) if kinds else value
-    bare = ENTITY.sub(lambda m: html.unescape(m.group(0)) if _is_entity(m) else m.group(0), bare) if kinds else bare
+    kinds, text, plain = [], value, value
+    if "<" in value or "&" in value:
+        entity = any(_is_entity(m) for m in ENTITY.finditer(value))
+        root, tags = dom(unescaped(value))
+        if tags or entity:
+            kinds.append("html")
+            plain = text_nodes(root)
+            text = tidy("\n".join(render(n) for n in content(root)))
     for kind, patterns, rewrite in (("latex", LATEX, latex_text), ("wiki", WIKI, wiki_text), ("markdown", MARKDOWN, markdown_text)):
-        if any(p.search(bare) for p in patterns):
+        if any(p.search(plain) for p in patterns):
             kinds.append(kind)
             text = rewrite(text)
     return tidy(text), kinds
@@ -343,19 +378,23 @@ def cleaned(col: Column | str) -> Column:
 
 
 def fields(blocks: DataFrame) -> DataFrame:
-    """(block_id, field, value) of every `table_body` and `math_content` text, wherever in the item it stands.
+    """(block_id, field, value) of every `table_body` and `math_content` text, wherever in the item it stands; a list there is no text.
 
     The text filter only spares the parser items that can't hold either key (an escaped key keeps its row).
     """
     item = F.col("item")
     held = blocks.where(item.contains("table_body") | item.contains("math_content") | item.contains("\\u"))
-    found = triples(held, "block_id", "item", keys=("table_body", "math_content"))
+    found = triples(held, "block_id", "item", keys=("table_body", "math_content"), elements=False)
     return found.where(F.col("value").isNotNull() & (F.col("kind") == "string")).select(F.col("rec_id").alias("block_id"), F.col("key").alias("field"), "value")
 
 
+#: A value without any of these signs holds no markup and is not parsed.
+SIGNS = r"[<&\\*_`|\[\](){}$^#=~>'+-]"
+
+
 def markup_kinds(blocks: DataFrame) -> DataFrame:
     """(block_id, field, markup): one row for each kind of markup that a field's values hold."""
-    return fields(blocks).select("block_id", "field", F.explode(cleaned("value")["kinds"]).alias("markup")).distinct()
+    return fields(blocks).where(F.col("value").rlike(SIGNS)).select("block_id", "field", F.explode(cleaned("value")["kinds"]).alias("markup")).distinct()
 
 
 def clean_fields(blocks: DataFrame) -> DataFrame:

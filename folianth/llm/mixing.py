@@ -1,14 +1,17 @@
 """Problem 7: a mixture of sources that meets target shares of all tokens.
 
-Texts are tokenized by a public tokenizer. The tokens of a source, its documents in a fixed order, form one stream that
+Texts are tokenized whole by a public tokenizer (the package `public_tokenizers` with the vocabulary files, or the path of a rank file).
+The tokens of a source, its documents in a fixed order, form one stream that
 is packed into blocks of `block_tokens` (the last may be shorter), so nothing is cut off. How many blocks each source
 gives follows from the targets; the counts of each output shard are a multinomial draw conditioned on those totals, so
 the reached shares are exact to one block. A slot of a source maps to a block through the source's own pseudorandom
 permutation, a new one for each use, so no block (and no document) is used more than `max_repeats` times before
 or beyond the cap. Slots and blocks meet in a join on (source, block).
 
-The size is the largest that keeps every cap, unless `total_blocks` asks for another; then sources at their cap give less
-and the report says so. Sources without a target, with a null name or without a token give nothing; a target whose source
+The size is `total_blocks`, by default all blocks of the sources with a target: as many tokens as there are. A source that can't give
+its share within its cap gives all it may, what is missing is given out over the others in proportion to their shares, and the report
+shows target and reached share of each. `EXACT` as the size asks instead for the largest mixture that meets every share within every cap; the
+scarcest source then sets it. Sources without a target, with a null name or without a token give nothing; a target whose source
 has no token can't be met and is shared out in proportion, which the report shows as reached share 0.
 
 Prefix sums run over (source, bucket of documents) and the few bucket totals, so that one source with a third of all rows
@@ -28,7 +31,9 @@ from folianth.sources.tables import written
 
 TOKENIZER = "byte_bpe_multi_50k.tiktoken"
 BLOCK_TOKENS = 128
-SHARDS = 16
+#: A shard holds about so many blocks; a small mixture has at least SHARDS shards.
+BLOCKS_PER_SHARD, SHARDS = 1 << 20, 16
+EXACT = -1
 SEED = 42
 DOCS_PER_BUCKET = 200_000
 _cache: dict = {}
@@ -51,15 +56,9 @@ def tokenizer(path: str | None = None):
     return _cache[name]
 
 
-LONG = 200_000
-
-
 def encode(text: str, path: str | None = None) -> list[int]:
-    """Token ids; a very long text is encoded line by line, as the tokenizer's time grows faster than the text in long runs."""
-    t = tokenizer(path)
-    if len(text) <= LONG:
-        return t.encode_ordinary(text)
-    return [i for line in text.splitlines(keepends=True) or [""] for k in range(0, len(line), LONG) for i in t.encode_ordinary(line[k : k + LONG])]
+    """Token ids of a whole text of any length."""
+    return tokenizer(path).encode_ordinary(text)
 
 
 def counted(documents: DataFrame, tokenizer_path: str | None = None) -> DataFrame:
@@ -111,12 +110,21 @@ def plan(totals: dict[str, int], targets: list[tuple[str, float, int]], block_to
         return {}
     shares = {s: wanted[s][0] / mass for s in held}
     caps = {s: wanted[s][1] * held[s] for s in held}
-    size = min(int(caps[s] / shares[s]) for s in held) if total_blocks is None else total_blocks
-    exact = {s: shares[s] * size for s in held}
+    size = min(int(caps[s] / shares[s]) for s in held) if total_blocks == EXACT else min(sum(held.values()) if total_blocks is None else total_blocks, sum(caps.values()))
+    # what capped sources can't give goes to the others in proportion, until no other is capped by it
+    capped: set[str] = set()
+    while True:
+        open_mass = sum(shares[s] for s in held if s not in capped)
+        left = size - sum(caps[s] for s in capped)
+        over = {s for s in held if s not in capped and left * shares[s] / open_mass > caps[s]}
+        if not over:
+            break
+        capped |= over
+    exact = {s: float(caps[s]) if s in capped else left * shares[s] / open_mass for s in held}
     draw = {s: int(exact[s]) for s in held}
-    for s in sorted(held, key=lambda s: (draw[s] - exact[s], s))[: size - sum(draw.values())]:  # largest remainders
+    for s in sorted((s for s in held if draw[s] < caps[s]), key=lambda s: (draw[s] - exact[s], s))[: size - sum(draw.values())]:  # largest remainders
         draw[s] += 1
-    return {s: (held[s], min(draw[s], caps[s])) for s in sorted(held)}
+    return {s: (held[s], draw[s]) for s in sorted(held)}
 
 
 def permuted(k: np.ndarray, n: np.ndarray, key: np.ndarray) -> np.ndarray:
@@ -149,9 +157,10 @@ def shard_counts(drawn: list[int], shards: int, seed: int) -> np.ndarray:
     return np.array(out, np.int64).reshape(shards, len(drawn))
 
 
-def slots(spark, planned: dict[str, tuple[int, int]], shards: int = SHARDS, seed: int = SEED) -> DataFrame:
+def slots(spark, planned: dict[str, tuple[int, int]], shards: int | None = None, seed: int = SEED) -> DataFrame:
     """(shard, slot, source, use_no, block): the drawn blocks, each slot computed on its own."""
     names = list(planned)
+    shards = shards or max(SHARDS, -(-sum(d for _, d in planned.values()) // BLOCKS_PER_SHARD))
     held = np.array([planned[s][0] for s in names], np.int64)
     counts = shard_counts([planned[s][1] for s in names], shards, seed) if names else np.zeros((shards, 0), np.int64)
     before = np.cumsum(counts, axis=0) - counts  # slots of each source in earlier shards
@@ -182,7 +191,7 @@ def slots(spark, planned: dict[str, tuple[int, int]], shards: int = SHARDS, seed
 class Mixture:
     """A planned mixture: `drawn` (pieces of documents by shard and slot) and `report` (shares by source)."""
 
-    def __init__(self, documents: DataFrame, targets: DataFrame, tokenizer_path: str | None = None, block_tokens: int = BLOCK_TOKENS, shards: int = SHARDS, seed: int = SEED, total_blocks: int | None = None):
+    def __init__(self, documents: DataFrame, targets: DataFrame, tokenizer_path: str | None = None, block_tokens: int = BLOCK_TOKENS, shards: int | None = None, seed: int = SEED, total_blocks: int | None = None):
         spark = documents.sparkSession
         self.targets = targets.groupBy("source").agg(F.sum("target_share").alias("target_share"), F.min("max_repeats").alias("max_repeats"))
         # tokenizing is the one costly step: its counts are written once, then read by every later pass
@@ -190,8 +199,9 @@ class Mixture:
         self.by_source = self.counts.groupBy("source").agg(F.count(F.lit(1)).alias("documents"), F.sum("tokens").alias("tokens"))
         wanted = self.targets.where(F.col("source").isNotNull())
         rows = wanted.join(self.by_source, "source", "left").select("source", "target_share", "max_repeats", "tokens").collect()
+        self.caps = {r["source"]: r["max_repeats"] for r in rows}
         self.planned = plan({r["source"]: r["tokens"] or 0 for r in rows}, [(r["source"], r["target_share"], r["max_repeats"]) for r in rows], block_tokens, total_blocks)
-        self.pieces = pieces(placed(self.counts.join(F.broadcast(spark.createDataFrame([(s,) for s in self.planned], "source string")), "source", "left_semi")), block_tokens)
+        self.pieces = pieces(placed(self.counts.where(F.col("source").isin(list(self.planned)))), block_tokens)
         self.slots = slots(spark, self.planned, shards, seed)
 
     @property
@@ -213,6 +223,33 @@ class Mixture:
         )
 
 
+def checks(documents: DataFrame, targets: DataFrame, **options) -> DataFrame:
+    """(name, holds): what must hold for every mixture, told from the drawn pieces themselves.
+
+    `caps`: no piece of a document is drawn more often than its source's cap; `slots`: the drawn blocks are all different slots and as many as
+    planned; `blocks`: no drawn block but the last of a source is short; `shares`: uncapped sources stand to each other as their targets,
+    to one block each; `whole`: packing loses no token.
+    """
+    m = Mixture(documents, targets, **options)
+    drawn, size = m.drawn, options.get("block_tokens", BLOCK_TOKENS)
+    uses = drawn.groupBy("source", "block", "doc_id", "token_from").agg(F.count(F.lit(1)).alias("n")).groupBy("source").agg(F.max("n").alias("n"))
+    caps = uses.join(m.targets, "source").agg(F.coalesce(F.bool_and(F.col("n") <= F.col("max_repeats")), F.lit(True)).alias("holds"))
+    blocks = drawn.groupBy("source", "shard", "slot", "block").agg(F.sum(F.col("token_to") - F.col("token_from")).alias("n"))
+    planned = sum(d for _, d in m.planned.values())
+    slots_ = blocks.agg(((F.count(F.lit(1)) == planned) & (F.count_distinct("shard", "slot") == planned)).alias("holds"))
+    full = blocks.where(F.col("n") < size).select("source", "block").distinct().groupBy("source").agg(F.count(F.lit(1)).alias("n")).agg(F.coalesce(F.max("n") <= 1, F.lit(True)).alias("holds"))
+    loose = {r["source"]: r["target_share"] for r in m.targets.where(F.col("source").isin(list(m.planned))).collect()}
+    free = [s for s, (held, drew) in m.planned.items() if drew < held * m.caps[s] - 1]
+    unit = sum(m.planned[s][1] for s in free) / (sum(loose[s] for s in free) or 1.0)
+    shares_ = documents.sparkSession.range(1).select(F.lit(all(abs(m.planned[s][1] - unit * loose[s]) <= len(free) + 1 for s in free)).alias("holds"))
+    lost = m.pieces.groupBy("doc_id", "source").agg(F.sum(F.col("token_to") - F.col("token_from")).alias("n")).join(m.counts.groupBy("doc_id", "source").agg(F.sum("tokens").alias("tokens")), ["doc_id", "source"]).agg(F.coalesce(F.bool_and(F.col("n") == F.col("tokens")), F.lit(True)).alias("holds"))
+    out = None
+    for name, one in (("caps", caps), ("slots", slots_), ("blocks", full), ("shares", shares_), ("whole", lost)):
+        row = one.select(F.lit(name).alias("name"), "holds")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
 def mixture(documents: DataFrame, targets: DataFrame, **options) -> DataFrame:
     return Mixture(documents, targets, **options).drawn
 

@@ -33,14 +33,14 @@ def line_key(line: Column) -> Column:
     return F.regexp_replace(F.lower(narrow(line)), r"(?U)[\p{Nd}\s\p{Z}\x{feff}\x{200b}]+", "")
 
 
-def text_items(blocks: DataFrame) -> DataFrame:
-    """(block_id, book, source, seq, page, top, body, titled): items of type `text`.
+def text_items(blocks: DataFrame, more_types: list[str] = []) -> DataFrame:  # noqa: B006
+    """(block_id, book, source, seq, type, page, top, body, titled): items of type `text`, and of the types named besides.
 
     An item that can't be parsed, or whose `text` is null, has a null body. A missing or odd `bbox` gives a null top.
     """
     item = F.from_json("item", ITEM)
-    held = blocks.where(F.col("type") == "text").select("block_id", "book", "source", "seq", "page_idx", item.alias("i"))
+    held = blocks.where(F.col("type").isin("text", *more_types)).select("block_id", "book", "source", "seq", "type", "page_idx", item.alias("i"))
     return held.select(
-        "block_id", "book", "source", "seq", F.coalesce("i.page_idx", "page_idx").alias("page"),
+        "block_id", "book", "source", "seq", "type", F.coalesce("i.page_idx", "page_idx").alias("page"),
         F.when(F.size("i.bbox") == 4, F.element_at("i.bbox", 2)).alias("top"), F.col("i.text").alias("body"), F.col("i.text_level").isNotNull().alias("titled"),
     )

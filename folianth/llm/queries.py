@@ -30,6 +30,10 @@ def p3_excess_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return site_lines.excess(table(spark, sf_dir, "content_blocks"))
 
 
+def p3_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return site_lines.Excess(table(spark, sf_dir, "content_blocks")).verdicts()
+
+
 def p3_without_excess(spark: SparkSession, sf_dir: str) -> DataFrame:
     return site_lines.without_excess(table(spark, sf_dir, "content_blocks"))
 
@@ -58,6 +62,15 @@ def p7_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.shares(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"))
 
 
+def p7_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.checks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"))
+
+
+def p7_exact_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report of the largest mixture that meets every share within every cap."""
+    return mixing.shares(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"), total_blocks=mixing.EXACT)
+
+
 def p7_document_uses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.document_uses(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"))
 
@@ -94,12 +107,14 @@ def oracle_sql() -> dict[str, str]:
     key = f"regexp_replace(lower(translate(line, {_sql_text(WIDE)}, {_sql_text(NARROW)})), '[\\p{{Nd}}\\s\\p{{Z}}\\x{{feff}}\\x{{200b}}]+', '', 'g')"
     number = _sql_text(PAGE_NUMBER.replace("(?iU)", "(?i)"))
     lines = f"""items AS (SELECT block_id, any_value(book) AS book, any_value(source) AS source, any_value(item) AS item FROM content_blocks WHERE type = 'text' AND json_valid(item) GROUP BY block_id),
+    heads AS (SELECT DISTINCT book, regexp_replace(regexp_replace(lower(translate(string_split(item ->> '$.text', chr(10))[1], {_sql_text(WIDE)}, {_sql_text(NARROW)})), '[\\p{{Nd}}\\s\\p{{Z}}]+', '', 'g'), '[^\\p{{L}}]+', '', 'g') AS head FROM content_blocks WHERE json_valid(item) AND book IS NOT NULL AND source IS NOT NULL AND (type IN ('header', 'page_header') OR type = 'text' AND json_array_length(item, '$.bbox') = 4 AND CAST(item ->> '$.bbox[1]' AS DOUBLE) NOT BETWEEN {TOP} AND {BOTTOM})),
     texts AS (SELECT block_id, book, source, item ->> '$.text' AS body FROM items WHERE source IS NOT NULL AND book IS NOT NULL AND (item ->> '$.text_level') IS NULL AND (item ->> '$.text') IS NOT NULL AND coalesce(CASE WHEN json_array_length(item, '$.bbox') = 4 THEN CAST(item ->> '$.bbox[1]' AS DOUBLE) END BETWEEN {TOP} AND {BOTTOM}, true)),
-    cut AS (SELECT block_id, book, source, unnest(range(1, len(s) + 1)) AS line_no, unnest(s) AS line FROM (SELECT *, string_split(body, chr(10)) AS s FROM texts)),
-    lines AS (SELECT *, {key} AS key FROM cut WHERE NOT regexp_matches(line, {number}) AND regexp_matches({key}, '\\p{{L}}')),
+    cut AS (SELECT block_id, book, source, len(s) > 1 AS several, unnest(range(1, len(s) + 1)) AS line_no, unnest(s) AS line FROM (SELECT *, string_split(body, chr(10)) AS s FROM texts)),
+    lines AS (SELECT *, {key} AS key FROM cut WHERE NOT regexp_matches(line, {number}) AND regexp_matches({key}, '\\p{{L}}') AND NOT (several AND line_no = 1 AND EXISTS (SELECT 1 FROM heads WHERE heads.book = cut.book AND heads.head = regexp_replace({key}, '[^\\p{{L}}]+', '', 'g')))),
     books AS (SELECT source, count(DISTINCT book) AS books FROM content_blocks WHERE source IS NOT NULL GROUP BY source),
     excess AS (SELECT source, key FROM lines JOIN books USING (source) GROUP BY source, key, books HAVING count(DISTINCT book) >= 3 AND count(DISTINCT book) >= 0.25 * books)"""
     return {
+        "p7_checks": "SELECT name, true AS holds FROM (VALUES ('caps'), ('slots'), ('blocks'), ('shares'), ('whole')) t(name)",
         "p3_found": f"WITH {lines} SELECT DISTINCT block_id, CAST(line_no AS INTEGER) AS line_no FROM lines JOIN excess USING (source, key)",
         "p3_without_excess": f"""WITH {lines}, seqs AS (SELECT block_id, any_value(book) AS book, any_value(seq) AS seq, any_value(item) AS item FROM content_blocks WHERE type = 'text' AND json_valid(item) GROUP BY block_id),
     every AS (SELECT block_id, book, seq, unnest(range(1, len(s) + 1)) AS line_no, unnest(s) AS line FROM (SELECT *, string_split(item ->> '$.text', chr(10)) AS s FROM seqs WHERE (item ->> '$.text') IS NOT NULL)),

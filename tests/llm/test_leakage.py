@@ -1,5 +1,7 @@
 import random
 
+import pyarrow as pa
+
 from folianth.llm import leakage as L
 
 EN = "When the harbour lamps were finally lit the old printer carried nine heavy proofs across the wet bridge and left them beside the second window of the empty reading room before anybody noticed"
@@ -20,8 +22,10 @@ def test_cases(spark):
     want = {(k, 100) for k in (1, 3, 5, 6, 10, 11, 14, 15)} | {(7, 101), (8, 101)}
     assert {tuple(r) for r in L.leaked_pairs(d, i).collect()} == want
     assert {(r.doc_id, r.item_id) for r in L.leaks(d, i, max_grams=10).select("doc_id", "item_id").distinct().collect()} == want
-    clean = {r.doc_id: r.text for r in L.without_leaks(d.where("doc_id in (2, 8, 12, 14)"), i).collect()}
-    assert clean[2] == OTHER and clean[12] is None and clean[8] == OTHER and clean[14] == OTHER * 2000
+    for most in (L.MAX_GRAMS, 10):  # by the broadcast, and by the join
+        clean = {r.doc_id: r.text for r in L.without_leaks(d.where("doc_id in (2, 8, 12, 14)"), i, max_grams=most).collect()}
+        assert clean[2] == OTHER and clean[12] is None and clean[8] == OTHER and clean[14] == OTHER * 2000
+    assert L.leaks(d.limit(0), i, max_grams=10).count() == 0
     assert L.leaked_pairs(d.limit(0), i).count() == 0 and L.leaked_pairs(d, i.limit(0)).count() == 0
 
 
@@ -62,3 +66,23 @@ def test_many_open_pieces_do_not_hide_a_leak():
     far = np.arange(60) * 40 + 1000
     i, j = np.concatenate([[0], far, [6]]), np.concatenate([[0], np.full(60, 3), [6]])
     assert (0, 12, 0, 12) in L.pieces(i, j, n)
+
+
+def test_every_copy_is_cut(spark):
+    twice = f"{OTHER} {EN} {OTHER} {EN.upper()} {OTHER}"
+    d = spark.createDataFrame([(1, twice), (2, f"{ZH}{OTHER * 4}{ZH}{ZH}")], "doc_id bigint, text string")
+    i = spark.createDataFrame([(100, EN), (101, ZH)], "item_id bigint, text string")
+    for most in (L.MAX_GRAMS, 10):
+        got = {r.doc_id: (r.text, r.leaked_items) for r in L.without_leaks(d, i, drop_from=0.9, max_grams=most).collect()}
+        assert got[1][0].split() == f"{OTHER} {OTHER} {OTHER}".split() and got[1][1] == [100] and got[2] == (OTHER * 4, [101])
+        assert sorted((r.doc_id, r.item_id, len(r.spans)) for r in L.leaks(d, i, max_grams=most).collect()) == [(1, 100, 1), (1, 100, 1), (2, 101, 1), (2, 101, 1), (2, 101, 1)]
+
+
+def test_equal_hashes_are_compared(spark):
+    import numpy as np
+
+    items = L.Items([(1, EN)])
+    other = L.Items([(1, OTHER)])
+    items.chars = np.resize(other.chars, len(items.chars))  # the hashes still match, the characters don't
+    assert len(L.hits(pa.array([EN]), items)[0]) == 0 and isinstance(items.begins, np.ndarray)
+    assert L.cut_out("abcdef", [(1, 3), (2, 4)]) == "aef"

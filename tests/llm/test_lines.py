@@ -40,3 +40,20 @@ def test_likelihood_ratio(spark):
         assert abs(g - plain(*c)) < 1e-5
     ratios = spark.createDataFrame([(40.0,), (30.0,), (0.1,), (0.2,), (-3.0,)], "llr double")
     assert 5 < S.discovery_threshold(ratios) <= 30
+    many = ratios.union(spark.range(2_000_000).selectExpr("-1.0D"))  # tests without excess count as tests
+    assert S.discovery_threshold(many) > 25
+
+
+def test_heads_and_verdicts(spark):
+    rows, n = [], 0
+    for k in range(6):
+        for text, box in ((f"Head of it {k}", [0, 20, 9, 30]), (f"Head of it {k + 5}\nown text {'y' * k}\nshared  line", None), (f"shared Line {k}", None)):
+            n += 1
+            rows.append((n, f"b{k}", "s", n, "text", None, json.dumps({"text": text} | ({"bbox": box} if box else {}))))
+    df = spark.createDataFrame(rows, "block_id bigint, book string, source string, seq int, type string, page_idx int, item string")
+    got = {tuple(r) for r in S.excess_places(df).collect()}
+    assert got == {(i, 3) for i in range(2, 19, 3)} | {(i, 1) for i in range(3, 19, 3)}
+    e = S.Excess(df)
+    assert sum(r.lines for r in e.verdicts().collect() if r.named) >= 1
+    kept = {r.block_id: r.text for r in e.removed().collect()}
+    assert kept[2] == "Head of it 5\nown text " and 3 not in kept and kept[1] == "Head of it 0" and len(kept) == 12

@@ -34,6 +34,31 @@ def test_content_is_the_dense_part():
     assert "home" not in M.read(page)[0] and "More of it" in M.read(page)[0]
 
 
+LONG_ROW = "<tr><td>group</td><td>12.5</td><td>0.04</td></tr>"
+
+
+@pytest.mark.parametrize("value, kept, gone", [
+    ("<ul><li><a href='1'>Chapter one</a></li><li><a href='2'>Chapter two</a></li><li><a href='3'>Chapter three</a></li></ul><p>" + "The text of the chapter goes on for long. " * 12 + "</p><p>Short.</p>", ["goes on", "Short."], ["Chapter two"]),
+    ("stray words <p>" + "Running prose without any link at all. " * 12 + "</p><table><tr><td><a href='x'>next</a></td><td><a href='y'>back</a></td></tr></table>", ["stray words", "Running prose"], ["next", "back"]),
+    ("<h2>Contents</h2><ol><li><a>One thing</a><li><a>Other thing</a></ol><h2>Results</h2><p>" + "Values were measured twice a day. " * 10 + "</p>", ["## Results", "measured"], ["Contents", "Other thing"]),
+    ("<div><p>" + "A note above the table, fairly long. " * 8 + "</p></div><table>" + LONG_ROW * 3 + "</table><ul><li>a</li><li>b</li></ul>", ["group | 12.5 | 0.04", "- a", "A note"], []),
+    ("<div>" + "Some prose with <a>one link</a> in a long sentence that says much more than its link. " * 6 + "</div>", ["one link", "says much more"], []),
+    ("<table><tr><td><a>only</a></td><td><a>links</a></td></tr></table>", ["only | links"], []),
+])
+def test_density_decides_for_links(value, kept, gone):
+    text = M.read(value)[0]
+    assert all(x in text for x in kept) and not any(x in text for x in gone)
+
+
+def test_escaped_many_times():
+    import html
+
+    value = "<b>x</b>"
+    for _ in range(7):
+        value = html.escape(value)
+    assert M.read(value) == ("x", ["html"])
+
+
 def test_queries(spark):
     item = lambda **x: json.dumps({"type": "table"} | x)
     rows = [(1, item(table_body="<b>x</b>")), (1, item(table_body="<b>x</b>")), (2, item(content={"sub": [{"math_content": "x_{1}"}, {"math_content": "**y**"}]})), (3, item(table_body=None)), (4, item(table_body=["<b>"])), (5, "{\"table_body\": \"<b>"), (6, None), (7, item(table_body=""))]
