@@ -34,6 +34,7 @@ LABEL_LOCATOR = rf"(?:[/／]{{1,2}}|[.．…_]{{2,}}){SP}*[（(]?{DIGIT}{{1,4}}[
 LABEL_PAGE = rf"^{SP}*{DIGIT}{{2,4}}{SP}*$"
 LABEL_TOC = r"(?i)^(?:目录|目次|contents?|table of contents)$"
 IMAGE_ENDS = r"(?i)\.(?:apng|avif|bmp|gif|jpeg|jpg|png|svg|tif|tiff|webp)$"
+RICH_SKIPPED_TYPES = ["page_header", "page_footer", "page_number", "page_aside_text"]
 SKIPPED_TYPES = ["header", "footer", "page_number", "aside_text", "page_header", "page_footer", "page_aside_text"]
 
 
@@ -96,8 +97,17 @@ def _page(slash: bool):
     return Predicate(column, sql)
 
 
+#: How a heading can begin at all, after the prefixes that cleaning drops.
+BEGINS = rf"(?i)^{SP}*(?:(?:text|paragraph)[\-:：{SP[1:-1]}]*)*(?:第|{DIGIT}|{SHORT_NUMERAL}|目录|序|前言|引言|致谢|跋|后记|参考文献|附录|作者介绍|译者序|推荐序)"
+
+
 def _level(x: Column) -> Column:
-    return F.when(x.isNull(), None).when(_entry(x), 0).otherwise(_let(R.apply("label_title", x), _title_level))
+    # most lines can't be headings and end at one look; the chain of the others is computed once for both questions
+    def told(t: Column) -> Column:
+        entry = (t != "") & (F.length(t) <= 120) & (t.rlike(ENTRY_LOCATOR) | t.rlike(ENTRY_BARE))
+        return F.when(entry, 0).otherwise(_let(R.apply(R.label_title[-3:], t), _title_level))
+
+    return F.when(x.isNull(), None).when(~x.rlike(BEGINS), 0).otherwise(_let(R.apply([*R.extractor_text, R.COLLAPSE, *R.STRIP], x), told))
 
 
 def _title_level(t: Column) -> Column:

@@ -12,7 +12,7 @@ SIGNS = {
     "times": "×", "cdot": "·", "div": "÷", "pm": "±", "mp": "∓", "leq": "≤", "le": "≤", "geq": "≥", "ge": "≥", "neq": "≠", "ne": "≠", "approx": "≈", "equiv": "≡", "sim": "∼", "propto": "∝", "infty": "∞",
     "partial": "∂", "nabla": "∇", "sum": "∑", "prod": "∏", "int": "∫", "sqrt": "√", "rightarrow": "→", "to": "→", "leftarrow": "←", "Rightarrow": "⇒", "leftrightarrow": "↔", "in": "∈", "notin": "∉", "subset": "⊂",
     "subseteq": "⊆", "cup": "∪", "cap": "∩", "circ": "°", "bar": "¯", "overline": "¯", "hat": "^", "quad": " ", "qquad": " ", "ldots": "…", "cdots": "⋯", "forall": "∀", "exists": "∃", "ast": "*", "star": "*", "bullet": "•",
-    "langle": "⟨", "rangle": "⟩", "varepsilon": "ε", "varphi": "φ", "vartheta": "θ", "left": "", "right": "",
+    "dots": "…", "Leftarrow": "⇐", "Leftrightarrow": "⇔", "langle": "⟨", "rangle": "⟩", "varepsilon": "ε", "varphi": "φ", "vartheta": "ϑ", "left": "", "right": "",
 }
 FONTS = re.compile(r"\\?(?:mathrm|mathbf|mathit|mathsf|mathcal|operatorname|text)\s*\{([^{}]*)\}")
 FRACTION = re.compile(r"\\frac\s*\{([^{}]+)\}\s*\{([^{}]+)\}")
@@ -52,3 +52,8 @@ def inline(latex: str | None) -> str | None:
     while (m := FRACTION.search(text)) is not None:
         text = text[: m.start()] + f'<span class="frac"><sup>{m.group(1)}</sup>/<sub>{m.group(2)}</sub></span>' + text[m.end() :]
     return f'<span class="math-inline">{text.replace(chr(92), "")}</span>'
+
+
+def in_html(text: str) -> str:
+    """HTML in which formulas between dollar signs on one line are written out."""
+    return re.sub(r"\$([^$\n]+)\$", lambda m: inline(html.unescape(m.group(1))) or "", text)

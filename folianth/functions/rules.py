@@ -9,6 +9,9 @@ Null gives null; the empty text gives the empty text (or the stated default). Th
 
 from __future__ import annotations
 
+from functools import lru_cache
+from html.entities import name2codepoint
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -36,7 +39,9 @@ HTML_ARTIFACT = rf"(?i)(<(?:li|p|h[1-6])(?:{SP}[^>]*)?>){SP}*(?:text|paragraph)(
 
 COLLAPSE: Step = (SP + "+", " ")
 STRIP: list[Step] = [(rf"^{SP}+", ""), (rf"{SP}+$", "")]
-ENTITIES: list[Step] = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&#x27;", "'"), ("&middot;", "·"), ("&nbsp;", " "), ("&amp;", "&")]
+#: Character entities become characters, each once: a marker, not a pattern (see `unescaped`).
+UNESCAPE: Step = ("&;", "&")
+ENTITIES: list[Step] = [UNESCAPE]
 ARTIFACTS: list[Step] = [(LIST_ARTIFACT, r"\1"), (ARTIFACT_MARK, ""), (ARTIFACT_SPACE, r"\1")]
 LINE_ENDS: list[Step] = [(r"\r\n", "\n"), (r"\r", "\n")]
 AROUND_LINES: list[Step] = [(r"[ \t]*\n[ \t]*", "\n"), (r"[ \t]{2,}", " ")]
@@ -69,8 +74,9 @@ label_repair = [*tags_to_nothing, (SP + "*" + LOCATOR + SP + "*$", ""), bare_pag
 _ROUND = [
     (rf"(?:{SP}*(?:[._·•…⋯]+|[/／]{{1,2}}){SP}*|{SP}+){DIGIT}{{1,4}}{SP}*$", ""), (rf"([：:，,。.!！?？）》\]]){SP}*{DIGIT}{{1,4}}{SP}*$", r"\1"), (rf"{SP}*[（(]{SP}*{DIGIT}{{1,4}}{SP}*[）)]{SP}*$", ""), *STRIP, (r"[./／]+$", ""), *STRIP,
 ]
-#: Suffixes are peeled until nothing changes; six rounds are more than any label of one line carries.
-label_fixpoint = [*STRIP, *(_ROUND * 6)]
+#: A round for each number of the text and as many again for leaders between them: then nothing is left to peel.
+FIXPOINT = _ROUND
+label_fixpoint = [*STRIP, ("&*", "")]
 label_title = [*extractor_text, COLLAPSE, (rf"{SP}+[·.。．]?{SP}*{DIGIT}{{1,4}}{SP}*$", ""), *STRIP]
 page_suffix = [(r"\|" + SP + "*$", ""), (LEADER_PAGE, ""), *edges(EDGE)]
 image_alt = [(r"[\[\]\(\)\n\r]+", " "), COLLAPSE, *STRIP, (r"^$", "image")]
@@ -93,13 +99,74 @@ RULES: dict[str, list[Step]] = {
 }
 
 
+NUMBERS = DIGIT + "+"
+#: An entity: decimal, hexadecimal or by a name of HTML 4.
+ENTITY = "&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,8});"
+
+
+@lru_cache(maxsize=1)
+def entity_names() -> dict[str, str]:
+    """Characters by entity name; numbers that mean a sign of the Windows character set come under their decimal name."""
+    out = {k: chr(v) for k, v in name2codepoint.items()} | {"apos": "'"}
+    for n in range(0x80, 0xA0):
+        try:
+            out[f"#{n}"] = out[f"#x{n:x}"] = bytes([n]).decode("cp1252")
+        except UnicodeDecodeError:
+            continue
+    return out
+
+
+def unescaped(text: Column) -> Column:
+    """The text with its character entities as characters, in one pass; unknown names stay. Texts without `&` are passed by."""
+    names = F.create_map(*(F.lit(x) for pair in entity_names().items() for x in pair))
+
+    def sign(e: Column) -> Column:
+        name = F.substring(e, 2, 1_000_000)
+        name = F.substring(name, F.lit(1), F.length(name) - 1)
+        code = F.when(F.lower(name).startswith("#x"), F.conv(F.substring(name, 3, 9), 16, 10)).when(name.startswith("#"), F.substring(name, 2, 9)).try_cast("bigint")
+        known = F.try_element_at(names, name)
+        made = F.when((code == 0) | (code > 0x10FFFF) | code.between(0xD800, 0xDFFF), F.lit("\ufffd")).otherwise(F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
+        return F.coalesce(known, F.when(code.isNotNull(), made), e)
+
+    def whole(t: Column) -> Column:
+        between, found = F.split(t, ENTITY, -1), F.regexp_extract_all(t, F.lit(ENTITY), 0)
+        return F.array_join(F.transform(between, lambda x, i: F.concat(x, F.coalesce(F.get(F.transform(found, sign), i), F.lit("")))), "")
+
+    return F.when(F.contains(text, F.lit("&")), F.element_at(F.transform(F.array(text), whole), 1)).otherwise(text)
+
+
+def unescaped_sql(text: str) -> str:
+    """`unescaped` as an SQL expression."""
+    names = "MAP {" + ", ".join(f"{quoted(k)}: {quoted(v)}" for k, v in entity_names().items()) + "}"
+    name = "e[2:-2]"
+    code = f"TRY_CAST(CASE WHEN {name}[1:2] IN ('#x', '#X') THEN CAST(TRY_CAST(('0x' || {name}[3:]) AS BIGINT) AS VARCHAR) WHEN {name}[1:1] = '#' THEN {name}[2:] END AS BIGINT)"
+    sign = f"coalesce({names}[{name}], CASE WHEN {code} IS NOT NULL THEN CASE WHEN {code} = 0 OR {code} > 1114111 OR {code} BETWEEN 55296 AND 57343 THEN chr(65533) ELSE chr(CAST({code} AS INTEGER)) END END, e)"
+    split = f"string_split_regex({text}, {quoted(ENTITY)})"
+    found = f"list_append(list_transform(regexp_extract_all({text}, {quoted(ENTITY)}), lambda e: {sign}), '')"
+    return f"CASE WHEN contains({text}, '&') THEN array_to_string(list_transform(list_zip({split}, {found}), lambda z: z[1] || z[2]), '') ELSE {text} END"
+
+
+def peeled(text: Column) -> Column:
+    """Suffixes of a label peeled until nothing changes; a text that ends in no suffix, as most do, skips the rounds."""
+    rounds = F.sequence(F.lit(0), 2 * F.regexp_count(text, F.lit(NUMBERS)) + 1)
+    return F.when(text.rlike(rf"(?:{DIGIT}|[)）./／])$"), F.aggregate(rounds, text, lambda acc, _: apply(FIXPOINT, acc))).otherwise(text)
+
+
+def peeled_sql(text: str) -> str:
+    """`peeled` as an SQL expression."""
+    rounds = f"list_transform(range(2 * len(regexp_extract_all({text}, {quoted(NUMBERS)})) + 2), lambda n: '')"
+    return f"list_reduce(list_prepend({text}, {rounds}), lambda acc, n: {as_sql(FIXPOINT, 'acc')})"
+
+
 def apply(rule: str | list[Step], text: Column) -> Column:
     """The rule as a Spark expression."""
-    if rule == "label_fixpoint":  # a text that ends in no suffix, as most do, skips the rounds
-        bare = apply(STRIP, text)
-        return F.when(bare.rlike(rf"(?:{DIGIT}|[）)./／])$"), apply(label_fixpoint, text)).otherwise(bare)
     for pattern, repl in RULES[rule] if isinstance(rule, str) else rule:
-        text = F.regexp_replace(text, pattern, repl.replace(r"\1", "$1").replace(r"\2", "$2"))
+        if pattern == "&;":
+            text = unescaped(text)
+        elif pattern == "&*":
+            text = peeled(text)
+        else:
+            text = F.regexp_replace(text, pattern, repl.replace(r"\1", "$1").replace(r"\2", "$2"))
     return F.lower(text) if isinstance(rule, str) and rule in LOWERED else text
 
 
@@ -110,7 +177,12 @@ def quoted(text: str) -> str:
 def as_sql(rule: str | list[Step], text: str) -> str:
     """The rule as an SQL expression."""
     for pattern, repl in RULES[rule] if isinstance(rule, str) else rule:
-        text = f"regexp_replace({text}, {quoted(pattern)}, {quoted(repl)}, 'g')"
+        if pattern == "&;":
+            text = unescaped_sql(text)
+        elif pattern == "&*":
+            text = peeled_sql(text)
+        else:
+            text = f"regexp_replace({text}, {quoted(pattern)}, {quoted(repl)}, 'g')"
     return f"lower({text})" if isinstance(rule, str) and rule in LOWERED else text
 
 

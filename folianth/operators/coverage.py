@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from folianth.functions import classify, rules
 from folianth.operators.ordered import BUCKET, scan
+from folianth.sources.tables import written
 
 MIN_HITS, MIN_SHARE = 5, 0.4
 
@@ -41,8 +42,8 @@ def accounted(lines: DataFrame, keys: DataFrame, dropped: DataFrame | None = Non
 
     `lines`: printed_titles; `keys`: label_keys; `dropped`: (book, line) that the review declares as left out.
     """
-    order = ["line_no"]
-    rows = scan(lines, ["book"], order, F.floor(F.col("line_no") / BUCKET), following={"next_line": F.col("line")})
+    order, bucket = ["line_no"], F.floor(F.col("line_no") / BUCKET)
+    rows = scan(lines, ["book"], order, bucket, following={"next_line": F.col("line")}, sum_before={"at": F.lit(1).cast("bigint")})
     rows = rows.withColumns({"k1": rules.apply("key_coverage", F.col("line")), "k2": rules.apply("key_coverage", F.concat("line", "next_line"))})
     known = keys.select("book", "key", F.when(F.col("is_label"), 1).when(F.col("is_renamed"), 2).alias("rank")).where(F.col("rank").isNotNull())
     if dropped is not None:
@@ -51,11 +52,10 @@ def accounted(lines: DataFrame, keys: DataFrame, dropped: DataFrame | None = Non
     for k, r in (("k1", "r1"), ("k2", "r2")):
         rows = rows.join(known.select("book", F.col("key").alias(k), F.col("rank").alias(r)), ["book", k], "left")
     single = F.col("r1").isNotNull() & (F.col("r2").isNull() | (F.col("r1") <= F.col("r2")))
-    rows = rows.withColumn("pair", ~single & F.col("r2").isNotNull()).withColumn("own", F.least("r1", "r2"))
-    bucket = F.floor(F.col("line_no") / BUCKET)
+    # written once: a scan reads its rows twice, and all before this would be done again
+    rows = written(rows.select("book", "line_no", "line", "at", (~single & F.col("r2").isNotNull()).alias("pair"), F.least("r1", "r2").alias("own")), "printed-keys")
     # the place in a run of pair lines: how many rows back the last row stands that takes no successor
-    rows = scan(rows, ["book"], order, bucket, sum_before={"at": F.lit(1).cast("bigint")}, previous={"pair_before": F.col("pair"), "own_before": F.col("own")})
-    rows = scan(rows, ["book"], order, bucket, max_before={"run_start": F.when(~F.col("pair"), F.col("at"))})
+    rows = scan(rows, ["book"], order, bucket, previous={"pair_before": F.col("pair"), "own_before": F.col("own")}, max_before={"run_start": F.when(~F.col("pair"), F.col("at"))})
     taken = F.coalesce(F.col("pair_before"), F.lit(False)) & ((F.col("at") - F.coalesce(F.col("run_start"), F.lit(-1))) % 2 == 0)
     rows = rows.withColumn("taken", taken)
     rank = F.when(F.col("taken"), F.col("own_before")).otherwise(F.col("own"))

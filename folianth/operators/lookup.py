@@ -20,27 +20,44 @@ def snippet(text: Column, offset: Column, before: int = 80, after: int = 220) ->
     return rules.apply("tags_to_space", F.substring(text, start + 1, F.greatest(offset, F.lit(0)) + after - start))
 
 
-def fragment_offset(page: Column, fragment: Column, label: Column) -> Column:
-    """Where the element with the id begins; without an id where the label stands; -1 for an id that is missing, 0 for nothing at all."""
+def fragment_offset(page: Column, fragment: Column, label: Column, repair: bool = False) -> Column:
+    """Where the element with the id begins; without an id where the label stands, else 0.
+
+    An id that is missing gives -1 to an audit; for a `repair` the label is looked for then too.
+    """
     one = F.greatest(F.instr(page, F.concat(F.lit('id="'), fragment, F.lit('"'))), F.instr(page, F.concat(F.lit("id='"), fragment, F.lit("'"))))
     plain = F.instr(rules.apply("tags_to_space", page), label)
-    return F.when(F.length(fragment) > 0, one - 1).when((F.length(label) > 0) & (plain > 0), plain - 1).otherwise(0)
+    by_id = (F.length(fragment) > 0) & (one > 0) if repair else F.length(fragment) > 0
+    return F.when(by_id, one - 1).when((F.length(label) > 0) & (plain > 0), plain - 1).otherwise(0)
 
 
 def locator_after(text: Column, end: Column) -> Column:
     """Leader dots and a page number follow within 120 characters."""
-    return rules.apply([("<[^>]+>", " ")], F.substring(text, end + 1, F.lit(120))).rlike(AFTER)
+    return rules.apply([("<[^>]+>", " "), rules.UNESCAPE], F.substring(text, end + 1, F.lit(120))).rlike(AFTER)
 
 
 def locator_before(text: Column, start: Column) -> Column:
     """A page number stands within the 30 characters before."""
     at = F.greatest(start - 30, F.lit(0))
-    return rules.apply([("<[^>]+>", " ")], F.substring(text, at + 1, start - at)).rlike(BEFORE)
+    return rules.apply([("<[^>]+>", " "), rules.UNESCAPE], F.substring(text, at + 1, start - at)).rlike(BEFORE)
 
 
 def locator_near(text: Column, start: Column, end: Column) -> Column:
     """Leader dots and a page number stand from the match to 140 characters after it."""
-    return rules.apply([("<[^>]+>", " ")], F.substring(text, start + 1, end - start + 140)).rlike(NEAR)
+    return rules.apply([("<[^>]+>", " "), rules.UNESCAPE], F.substring(text, start + 1, end - start + 140)).rlike(NEAR)
+
+
+def locator_around(text: Column, start: Column, end: Column) -> Column:
+    """A locator or a leading page number stands from 40 characters before the match to 160 after it."""
+    at = F.greatest(start - 40, F.lit(0))
+    context = rules.apply("tags_to_space", F.substring(text, at + 1, end + 160 - at))
+    return context.rlike(rules.LOCATOR_LOW) | context.rlike(classify.LEADING_PAGE)
+
+
+def likely_printed(label: Column, file_index: Column, near: Column) -> Column:
+    """An entry of a printed contents page: its label carries a locator, or it leads to one of the first files where a contents word or a locator is near."""
+    head = F.substring(near, 1, 120).contains("目录") | F.substring(near, 1, 220).rlike(rules.LOCATOR)
+    return label.rlike(rules.LOCATOR) | ((file_index <= 2) & head)
 
 
 def next_label_near(text: Column, end: Column, label: Column) -> Column:
@@ -134,14 +151,20 @@ def numbered_titles(lines: DataFrame) -> DataFrame:
     return parts.select("book", "no", rules.apply([(rf"^{rules.SP}*[0-9]{{1,4}}[.、．]?", ""), *rules.STRIP], text).alias("title"))
 
 
-def body_targets(titles: DataFrame, blocks: DataFrame) -> DataFrame:
+def body_targets(titles: DataFrame, blocks: DataFrame, wrap: bool = False) -> DataFrame:
     """(entry_id, file_index, block): for each title the first body block after its place that holds its key and is no printed line.
 
-    `titles`: book, entry_id, file_index, block, label; `blocks`: book, file_index, block, text.
+    `titles`: book, entry_id, file_index, block, label; `blocks`: book, file_index, block, text. With `wrap` the search goes on from the first
+    file after the last, and of the blocks of a file one that holds the label as it stands comes before one that only holds its key.
     """
-    asked = titles.select("book", "entry_id", F.struct(F.col("file_index"), F.col("block")).alias("from"), rules.apply("key_anchor", F.col("label")).alias("needle")).where(F.length("needle") >= 2)
-    body = blocks.where(~classify.toc_line(F.col("text")) & ~classify.printed_label(F.col("text"))).select("book", F.struct("file_index", "block").alias("place"), rules.apply("key_anchor", F.col("text")).alias("key"))
-    met = contains_join(asked, "needle", body, "key", "place", on=["book"]).where(F.col("place") > F.col("from"))
+    asked = titles.select("book", "entry_id", F.struct(F.col("file_index"), F.col("block")).alias("from"), rules.apply("label_repair", F.col("label")).alias("raw"), rules.apply("key_anchor", F.col("label")).alias("needle")).where(F.length("needle") >= 2)
+    body = blocks.where(~classify.toc_line(F.col("text")) & ~classify.printed_label(F.col("text"))).select("book", F.struct("file_index", "block").alias("place"), F.col("text").alias("body"), rules.apply("key_anchor", F.col("text")).alias("key"))
+    met = contains_join(asked, "needle", body, "key", "place", on=["book"])
+    if wrap:
+        count = blocks.groupBy("book").agg((F.max("file_index") + 1).alias("files"))
+        rank = F.struct(wrapped_order(F.col("place.file_index"), F.col("from.file_index") + 1, F.col("files")), F.when(F.contains("body", "raw"), 0).otherwise(1), F.col("place"))
+        return met.join(count, "book").groupBy("entry_id").agg(F.min_by("place", rank).alias("place")).select("entry_id", "place.file_index", "place.block")
+    met = met.where(F.col("place") > F.col("from"))
     return met.groupBy("entry_id").agg(F.min("place").alias("place")).select("entry_id", "place.file_index", "place.block")
 
 
@@ -150,11 +173,53 @@ def wrapped_order(index: Column, start: Column, count: Column) -> Column:
     return F.pmod(index - start + count, count)
 
 
+def wrapped_search(searches: DataFrame, docs: DataFrame) -> DataFrame:
+    """(book, search_id, file_index, error): the first file, from the given one on and round, whose key holds the search's key.
+
+    `searches`: book, search_id, search, start_index; `docs`: book, file_index, text. A search without a key or a hit is an error row.
+    """
+    asked = searches.withColumn("needle", rules.apply("key_manual", F.col("search")))
+    held = docs.select("book", "file_index", rules.apply("key_manual", F.col("text")).alias("key"))
+    count = docs.groupBy("book").agg((F.max("file_index") + 1).alias("files"))
+    met = contains_join(asked.select("book", "search_id", "start_index", "needle"), "needle", held, "key", "file_index", on=["book"]).join(count, "book")
+    first = met.groupBy("search_id").agg(F.min_by("file_index", wrapped_order(F.col("file_index"), F.col("start_index"), F.col("files"))).alias("file_index"))
+    return searches.select("book", "search_id").join(first, "search_id", "left").select("book", "search_id", "file_index", F.when(F.col("file_index").isNull(), "not found").alias("error"))
+
+
 def later_duplicates(entries: DataFrame) -> DataFrame:
-    """Entries of which a later one of the same book has an equal key or the same leading ordinal; `entries`: book, entry_id, seq, label."""
-    keyed = entries.select("book", "entry_id", "seq", F.explode(F.array_distinct(F.filter(F.array(rules.apply("key_printed", F.col("label")), rules.ordinal_prefix(F.col("label"))), lambda x: F.length(x) >= 2))).alias("key"))
-    last = keyed.groupBy("book", "key").agg(F.max("seq").alias("last"))
-    return keyed.join(last, ["book", "key"]).where(F.col("seq") < F.col("last")).select("book", "entry_id").distinct()
+    """Entries of which a later one of the same book has an equal, holding or held key, or the same leading ordinal; `entries`: book, entry_id, seq, label.
+
+    Pairs are of different keys of a book, each with its last place, not of entries.
+    """
+    keyed = entries.select("book", "entry_id", "seq", rules.apply("key_printed", F.col("label")).alias("key"), rules.ordinal_prefix(F.col("label")).alias("ordinal"))
+    keys = keyed.where(F.length("key") > 0).groupBy("book", "key").agg(F.max("seq").alias("last"))
+    met = contains_join(keys.select("book", F.col("key").alias("part"), F.col("last").alias("last_part")), "part", keys, "key", "key", on=["book"])
+    reach = met.select("book", "key", F.col("last_part").alias("last")).unionByName(met.select("book", F.col("part").alias("key"), "last")).groupBy("book", "key").agg(F.max("last").alias("last"))
+    ordinals = keyed.where(F.length("ordinal") > 0).groupBy("book", "ordinal").agg(F.max("seq").alias("last"))
+    by_key = keyed.join(reach, ["book", "key"]).where(F.col("seq") < F.col("last")).select("book", "entry_id")
+    by_ordinal = keyed.join(ordinals, ["book", "ordinal"]).where(F.col("seq") < F.col("last")).select("book", "entry_id")
+    return by_key.unionByName(by_ordinal).distinct()
+
+
+def first_holder(names: DataFrame, markers: DataFrame) -> DataFrame:
+    """(name, marker, note): for each name the first marker (by `ord`) that it holds; names without one have nulls.
+
+    `names`: name; `markers`: ord, marker, note. A null or empty marker is held by nothing.
+    """
+    met = contains_join(markers.select("ord", "marker", "note"), "marker", names.select("name").distinct().withColumn("text", F.col("name")), "text", "name")
+    first = met.groupBy("name").agg(F.min_by(F.struct("marker", "note"), "ord").alias("m"))
+    return names.join(first, "name", "left").select("name", "m.marker", "m.note")
+
+
+def match_specs(books: DataFrame, specs: DataFrame) -> DataFrame:
+    """(book, spec): the first spec (by `ord`) of which the file name is the book's, or the stem a part of the book's stem; null without one.
+
+    `books`: book; `specs`: ord, file.
+    """
+    stem = lambda c: F.regexp_replace(c, r"(?<=.)\.[^.]*$", "")
+    exact = books.join(specs.withColumnRenamed("file", "book"), "book").select("book", "ord", F.col("book").alias("spec"))
+    held = contains_join(specs.select("ord", "file", stem(F.col("file")).alias("needle")), "needle", books.select("book").distinct().withColumn("stem", stem(F.col("book"))), "stem", "book").select("book", "ord", F.col("file").alias("spec"))
+    return books.join(exact.unionByName(held).groupBy("book").agg(F.min_by("spec", "ord").alias("spec")), "book", "left").select("book", "spec")
 
 
 def first_by_order(rows: DataFrame, keys: list[str], order: list[str], limit: int) -> DataFrame:

@@ -29,6 +29,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from folianth.sources.tables import written
+
 BOM = "﻿"
 #: One JSON token with the white space before it; a string key is told by the colon that the parser sees next.
 TOKEN = re.compile(
@@ -296,17 +298,72 @@ def pivot(found: DataFrame, columns: list[str], lists: list[str] = []) -> DataFr
     return found.groupBy("rec_id", F.col("owner_path").alias("node_path")).agg(F.max("parent_path").alias("parent_path"), F.min("ordinal").alias("position"), *(column(c).alias(n) for c, n in named.items()))
 
 
+def objects(df: DataFrame, id_col: str, text_col: str, columns: list[str], lists: list[str] = [], root: str | None = None, marker: str | None = None, embedded: tuple[str, ...] = ()) -> DataFrame:  # noqa: B006
+    """The rows of `pivot`, made where the records are parsed: what is shuffled is one row for each object, not one for each member."""
+    inside = frozenset(embedded)
+    named = {c: f"f_{c}" if c.lower() in RESERVED else c for c in columns}
+    kinds = {c: "array<string>" if c in lists else "string" for c in columns}
+    schema = ", ".join(["rec_id bigint, node_path string, parent_path string, position int", *(f"`{n}` {kinds[c]}" for c, n in named.items())])
+    arrow = pa.schema([("rec_id", pa.int64()), ("node_path", pa.string()), ("parent_path", pa.string()), ("position", pa.int32()), *((n, pa.list_(pa.string()) if c in lists else pa.string()) for c, n in named.items())])
+    at = {c: k for k, c in enumerate(columns)}
+
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[list] = []
+            for rec, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                made: dict[str, list] = {}
+                for ordinal, owner, _, parent, key, value, kind, place in record_triples(text, root, marker, inside, None, True):
+                    row = made.setdefault(owner, [rec, owner, parent, ordinal, *([None] * len(columns))])
+                    row[3] = min(row[3], ordinal)
+                    if key not in at:
+                        continue
+                    k = 4 + at[key]
+                    if key in lists:
+                        if place is not None or kind == "array":
+                            row[k] = [*(row[k] or []), (ordinal, value)] if place is not None else row[k] or []
+                        elif value is not None and row[k] is None:
+                            row[k] = [(ordinal, value)]
+                    elif place is None and value is not None:
+                        row[k] = value
+                for row in made.values():
+                    for key in lists:
+                        k = 4 + at[key]
+                        row[k] = None if row[k] is None else [v for _, v in sorted(row[k], key=lambda x: x[0])]
+                    out.append(row)
+            cols = list(zip(*out)) if out else [[] for _ in arrow]
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, arrow)], schema=arrow)
+
+    rows = df.select(F.col(f"`{id_col}`").cast("bigint").alias("rec_id"), F.col(f"`{text_col}`").cast("string").alias("text")).mapInArrow(parse, schema)
+    return rows.groupBy("rec_id", "node_path").agg(*(F.max(f"`{c}`").alias(c) for c in rows.columns if c not in ("rec_id", "node_path")))
+
+
 def elements(found: DataFrame) -> DataFrame:
     """(rec_id, node_path, key, place, position, value, kind): a row for each value that stands in an array, linked to its object."""
     return found.where(F.col("place").isNotNull()).select("rec_id", F.col("owner_path").alias("node_path"), "key", "place", F.col("ordinal").alias("position"), "value", "kind").distinct()
 
 
+def grouped(found: DataFrame) -> DataFrame:
+    """(table, rec_id, node_path, parent_path, position, fields): every object under the table of its repeated ancestor, its values by key.
+
+    The tables of all groups in one: `fields` has the columns that an object of the group holds (objects and arrays below it are tables of
+    their own, linked by `parent_path`; arrays of values are joined as JSON text).
+    """
+    one = found.withColumn("table", repeated_ancestor(F.col("group_path"))).groupBy("table", "rec_id", F.col("owner_path").alias("node_path"), "key").agg(
+        F.max("parent_path").alias("parent_path"), F.min("ordinal").alias("position"), F.max(F.when(F.col("place").isNull(), F.col("value"))).alias("value"),
+        F.array_sort(F.collect_set(F.when(F.col("place").isNotNull(), F.struct("ordinal", "value")))).alias("many"),
+    )
+    value = F.when(F.size("many") > 0, F.to_json(F.transform("many", lambda x: x["value"]))).otherwise(F.col("value"))
+    pair = F.when(value.isNotNull(), F.struct("key", value.alias("value")))
+    return one.groupBy("table", "rec_id", "node_path").agg(F.max("parent_path").alias("parent_path"), F.min("position").alias("position"), F.map_from_entries(F.array_sort(F.collect_list(pair))).alias("fields"))
+
+
 def flat_tables(df: DataFrame, id_col: str, text_col: str, root: str | None = None, marker: str | None = None, embedded: tuple[str, ...] = ()) -> dict[str, DataFrame]:
     """One table for each group of paths with the same repeated ancestor.
 
-    The groups and their keys are the only thing gathered on the driver: names of the schema, not data.
+    The records are parsed once: the triples are written and every table reads its own. The groups and their keys are the only thing
+    gathered on the driver: names of the schema, not data.
     """
-    found = triples(df, id_col, text_col, root, marker, embedded).withColumn("table", repeated_ancestor(F.col("group_path")))
+    found = written(triples(df, id_col, text_col, root, marker, embedded).withColumn("table", repeated_ancestor(F.col("group_path"))), "triples", ["table"])
     names: dict[str, dict[str, bool]] = {}
     for r in found.groupBy("table", "key").agg(F.bool_or(F.col("place").isNotNull() & (F.col("kind") != "null")).alias("many")).orderBy("table", "key").toLocalIterator():
         names.setdefault(r["table"], {})[r["key"]] = r["many"]

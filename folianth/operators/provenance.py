@@ -23,6 +23,16 @@ def config(backend: Column, method: Column, lang: Column, model_source: Column,
     )
 
 
+def recorded(work: DataFrame) -> DataFrame:
+    """(book, record, error): the record of a finished extraction as JSON text, none where the source changed under it or no file came out.
+
+    `work`: book, source_path, source_sha256, kept_sha256, config (struct as in `config`), files (map), finished_at.
+    """
+    error = F.when(~F.col("source_sha256").eqNullSafe(F.col("kept_sha256")), "source changed during extraction").when(F.col("files").isNull() | (F.size("files") == 0), "no files")
+    record = F.to_json(F.struct(F.lit(1).alias("version"), F.col("finished_at").alias("timestamp"), F.col("source_path").alias("source_pdf"), "source_sha256", F.col("config").alias("extraction_config"), "files"))
+    return work.select("book", F.when(error.isNull(), record).alias("record"), error.alias("error"))
+
+
 def _sorted(m: Column) -> Column:
     return F.array_sort(F.map_entries(m))
 

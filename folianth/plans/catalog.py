@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from folianth.plans import lookups, navigation, pages, records, text
+from folianth.plans import audits, cases, lookups, navigation, pages, records, shelf, text
 
-MODULES = (records, text, navigation, pages, lookups)
+MODULES = (records, text, navigation, pages, lookups, audits, cases, shelf)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -37,11 +37,11 @@ def spec_zip_drift(spark, d):
     return L.ordered_zip(printed, labels, ["text"]).groupBy("book").agg(F.count(F.lit(1)).alias("differences"))
 
 
-_KEYS = f"{PLACED_SQL}, keyed AS (SELECT DISTINCT book, entry_id, seq, key FROM (SELECT book, entry_id, seq, {as_sql('key_printed', 'label')} AS key FROM placed UNION ALL SELECT book, entry_id, seq, {ordinal_prefix_sql('label')} FROM placed) WHERE length(key) >= 2 AND book IS NOT NULL)"
+_LATER = f"keyed AS (SELECT book, entry_id, seq, {as_sql('key_printed', 'label')} AS key, {ordinal_prefix_sql('label')} AS ordinal FROM placed WHERE book IS NOT NULL)"
 SQL = {
     "printed_range_expand": f"WITH {LINES_SQL}, r AS (SELECT doc_id, min(line_no) AS a, max(line_no) AS b FROM lines WHERE starts_with(line, '- ') GROUP BY doc_id) SELECT CAST(l.doc_id AS VARCHAR) AS book, count(*) AS n_lines, CAST(sum(length(line)) AS BIGINT) AS chars FROM lines l JOIN r ON r.doc_id = l.doc_id AND line_no BETWEEN a AND b GROUP BY l.doc_id",
     "chapter_nesting": f"WITH {pages._BLOCKS}, n AS (SELECT *, last_value(CASE WHEN tag = 'h1' THEN text END IGNORE NULLS) OVER w AS h1, max(CASE WHEN tag = 'h1' THEN block_no END) OVER w AS at1, last_value(CASE WHEN tag = 'h2' THEN text END IGNORE NULLS) OVER w AS second, max(CASE WHEN tag = 'h2' THEN block_no END) OVER w AS at2 FROM blocks WINDOW w AS (PARTITION BY doc_id ORDER BY block_no ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) SELECT CAST(doc_id AS VARCHAR) AS book, block_no AS seq, tag, text, h1, CASE WHEN at2 > coalesce(at1, -1) THEN second END AS h2 FROM n WHERE tag IN ('h3', 'li')",
-    "later_duplicate_labels": f"WITH {_KEYS} SELECT DISTINCT a.book, a.entry_id FROM keyed a JOIN keyed b ON a.book = b.book AND a.key = b.key AND b.seq > a.seq",
+    "later_duplicate_labels": f"WITH {PLACED_SQL}, {_LATER} SELECT DISTINCT a.book, a.entry_id FROM keyed a JOIN keyed b ON a.book = b.book AND b.seq > a.seq AND (a.key <> '' AND b.key <> '' AND (contains(b.key, a.key) OR contains(a.key, b.key)) OR a.ordinal <> '' AND a.ordinal = b.ordinal)",
     "spec_zip_drift": f"WITH {PLACED_SQL}, p AS (SELECT book, row_number() OVER (PARTITION BY book ORDER BY line_no) AS i, text FROM (SELECT book, line_no, min(line) AS text FROM printed_lines WHERE book IS NOT NULL GROUP BY book, line_no)), l AS (SELECT book, row_number() OVER (PARTITION BY book ORDER BY seq) AS i, label AS text FROM placed WHERE book IS NOT NULL) SELECT coalesce(p.book, l.book) AS book, count(*) AS differences FROM p FULL JOIN l ON p.book = l.book AND p.i = l.i WHERE p.i IS NULL OR l.i IS NULL OR p.text IS DISTINCT FROM l.text GROUP BY 1",
 }
 QUERIES = {k: globals()[k] for k in SQL}

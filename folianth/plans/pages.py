@@ -9,10 +9,15 @@ from folianth.functions import classify, rules
 from folianth.functions.rules import as_sql, quoted
 from folianth.operators import markdown as M
 from folianth.operators import ordered
-from folianth.plans.relations import LINES_SQL, lines
+from folianth.plans.relations import CASE_DOCS, CASE_DOCS_SQL, LINES_SQL, lines, literal
 from folianth.sources.tables import table
 
 
+def _case_lines(spark):
+    docs = literal(spark, "doc_id bigint, book string, chapter_no int, text string", CASE_DOCS)
+    return docs.where("text IS NOT NULL").select("doc_id", "book", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line")).select("doc_id", "book", F.col("line_no").cast("bigint").alias("line_no"), "line")
+
+
 def blocks(spark, d):
     return M.blocks(lines(spark, d, together=True))
 
@@ -43,7 +48,8 @@ def heading_stats(spark, d):
 
 
 def duplicate_headings(spark, d):
-    h = blocks(spark, d).where(F.col("tag").rlike("^h[1-6]$"))
+    """Headings that come again in their document; with the chapters of the case book."""
+    h = M.blocks(lines(spark, d, together=True).unionByName(_case_lines(spark))).where(F.col("tag").rlike("^h[1-6]$"))
     return h.groupBy("doc_id", "text").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
 
 
@@ -73,29 +79,46 @@ def _prose():
 
 
 def toc_windows(spark, d):
-    """From each short line with a word for contents: how many of the next 500 lines belong to the printed contents (eight windows a document)."""
-    order = Window.partitionBy("doc_id").orderBy("line_no")
-    rows = lines(spark, d, together=True).withColumn("prose", _prose())
-    rows = rows.withColumn("third", F.col("prose") & F.coalesce(F.lag("prose", 1).over(order), F.lit(False)) & F.coalesce(F.lag("prose", 2).over(order), F.lit(False))).withColumn("total", F.count(F.lit(1)).over(Window.partitionBy("doc_id")))
-    hits = rows.where(F.col("line").rlike(classify.TOC_WORD) & (F.length("line") <= 80)).select("doc_id", F.col("line_no").alias("start"), "total")
-    stops = rows.where("third").select("doc_id", F.col("line_no").alias("stop"))
-    near = hits.join(stops, "doc_id", "left").withColumn("ok", (F.col("stop") >= F.col("start") + 11) & (F.col("stop") < F.col("start") + 500) & (F.col("stop") >= F.col("start") + 2))
-    one = near.groupBy("doc_id", "start", "total").agg(F.min(F.when(F.col("ok"), F.col("stop"))).alias("stop"))
-    first = Window.partitionBy("doc_id").orderBy("start")
-    return one.withColumn("k", F.row_number().over(first)).where("k <= 8").select("doc_id", "start", F.coalesce(F.col("stop") - F.col("start") - 2, F.least(F.lit(500), F.col("total") - F.col("start"))).alias("n_lines"))
+    """From each short block with a word for contents: which blocks belong to the printed contents, and their text (eight windows a document).
+
+    A window ends after 500 blocks, with the document, or before the first run of three prose blocks that ends at its twelfth block or later.
+    """
+    order = Window.partitionBy("doc_id").orderBy("block_no")
+    before = lambda n: F.coalesce(F.lag("prose", n).over(order), F.lit(False))
+    t = F.col("text")
+    prose = (F.length(t) > 260) & ~t.rlike(classify.PAGE_SUFFIX) & ~F.substring(t, 1, 80).rlike(classify.STRUCTURE)
+    rows = blocks(spark, d).withColumn("prose", prose).withColumn("third", F.col("prose") & before(1) & before(2))
+    # the nearest end of a run from the twelfth block on, told by a window that looks forward: no pairs of hits and stops
+    stop = F.min(F.when(F.col("third"), F.col("block_no"))).over(order.rowsBetween(11, 499))
+    rows = rows.withColumns({"stop": stop, "size": F.least(F.lit(500), F.count(F.lit(1)).over(order.rowsBetween(0, Window.unboundedFollowing)))})
+    hits = rows.where(t.rlike(classify.TOC_WORD) & (F.length(t) <= 80)).withColumn("k", F.row_number().over(order)).where("k <= 8")
+    spans = hits.select("doc_id", F.col("block_no").alias("start"), F.coalesce(F.col("stop") - F.col("block_no") - 2, F.col("size")).alias("n_blocks"))
+    # a window is at most 500 blocks, so the blocks it takes are named one by one and met by number
+    taken = spans.select("doc_id", "start", "n_blocks", F.explode(F.sequence(F.col("start"), F.col("start") + F.greatest(F.col("n_blocks"), F.lit(1)) - 1)).alias("block_no")).join(rows.select("doc_id", "block_no", "tag", "text"), ["doc_id", "block_no"])
+    line = F.concat(F.lit("["), F.col("block_no"), F.lit(":"), F.col("tag"), F.lit("] "), F.col("text"))
+    return taken.groupBy("doc_id", "start", "n_blocks").agg(F.substring(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("block_no", line.alias("line")))), lambda x: x["line"]), "\n"), 1, 30000).alias("text"))
+
+
+WINDOW_LINES = 3
 
 
 def window_concat(spark, d):
-    """Keys of each line with the next: titles that wrap."""
+    """Keys of each block with the two after it, and with the one after it: titles that wrap."""
     order = Window.partitionBy("doc_id").orderBy("line_no")
-    rows = lines(spark, d, together=True).withColumn("next", F.lead("line").over(order)).where(F.col("next").isNotNull() & (F.length("line") <= 200) & (F.length("next") <= 200))
-    return rows.select("doc_id", "line_no", rules.apply("key_resolve", F.concat_ws(" ", "line", "next")).alias("key"))
+    rows = lines(spark, d, together=True).withColumns({f"t{k}": F.lead("line", k).over(order) for k in range(1, WINDOW_LINES)})
+    out = None
+    for size in range(2, WINDOW_LINES + 1):
+        some = rows.where(F.col(f"t{size - 1}").isNotNull()).select("doc_id", "line_no", F.lit(size).alias("size"), rules.apply("key_resolve", F.concat_ws(" ", "line", *(f"t{k}" for k in range(1, size)))).alias("key"))
+        out = some if out is None else out.unionByName(some)
+    return out.where(F.length("key") > 0).select("doc_id", "line_no", "size", F.sha2("key", 256).alias("key"))
 
 
 def nth_occurrence(spark, d):
-    """The second place of every line that comes again in its document."""
+    """The second place after the first heading (the cursor) of every line that comes again in its document; with the chapters of the case book."""
+    whole = Window.partitionBy("doc_id")
+    rows = lines(spark, d, together=True).unionByName(_case_lines(spark)).withColumn("cursor", F.coalesce(F.min(F.when(F.col("line").startswith("#"), F.col("line_no"))).over(whole), F.lit(-1))).where(F.col("line_no") > F.col("cursor"))
     order = Window.partitionBy("doc_id", "line").orderBy("line_no")
-    return lines(spark, d, together=True).where(F.length("line") > 0).withColumn("k", F.row_number().over(order)).where("k = 2").select("doc_id", "line", "line_no")
+    return rows.where(F.length("line") > 0).withColumn("k", F.row_number().over(order)).where("k = 2").select("doc_id", "line", "line_no")
 
 
 def cumulative_shift(spark, d):
@@ -122,8 +145,8 @@ def body_heading_candidates(spark, d):
 
 
 def demote_headings(spark, d):
-    """Headings that are lines of a printed contents list, as the paragraphs they become."""
-    b = lines(spark, d).where(F.col("line").rlike(M.HEADING)).select("doc_id", "line_no", rules.apply(rules.STRIP, F.regexp_extract("line", M.HEADING, 2)).alias("text"))
+    """Headings that are lines of a printed contents list, as the paragraphs they become; with the chapters of the case book."""
+    b = lines(spark, d).unionByName(_case_lines(spark)).where(F.col("line").rlike(M.HEADING)).select("doc_id", "line_no", rules.apply(rules.STRIP, F.regexp_extract("line", M.HEADING, 2)).alias("text"))
     return b.where(classify.printed_entry(F.col("text"))).select("doc_id", "line_no", F.concat(F.lit("**"), F.col("text"), F.lit("**")).alias("text"))
 
 
@@ -144,9 +167,11 @@ def inventory_copies(spark, d):
 
 
 def source_pick(spark, d):
-    """For each book the source to convert: the one with the most layout items, ties by name."""
-    n = table(spark, d, "content_blocks").where("book IS NOT NULL AND source IS NOT NULL").dropDuplicates(["block_id"]).groupBy("book", "source").agg(F.count(F.lit(1)).alias("n"))
-    return n.groupBy("book").agg(F.min_by("source", F.struct(-F.col("n"), "source")).alias("source"), F.max("n").alias("items"))
+    """For each book the delivery to convert: layout items with nested content before flat ones (the tier), then the largest, ties by name."""
+    rows = table(spark, d, "content_blocks").where("book IS NOT NULL AND source IS NOT NULL").dropDuplicates(["block_id"])
+    n = rows.groupBy("book", "source").agg(F.min(F.when(F.col("item").contains('"content"'), 0).otherwise(1)).alias("tier"), F.coalesce(F.sum(F.length("item")), F.lit(0)).alias("size"))
+    best = F.struct("tier", -F.col("size"), "source")
+    return n.groupBy("book").agg(F.min_by("source", best).alias("source"), F.min("tier").alias("tier"), F.min_by("size", best).alias("size"))
 
 
 def job_order(spark, d, limit=None):
@@ -178,7 +203,9 @@ _ISH = "regexp_matches(tag, '^h[1-6]$')"
 _AUDIT = f"{_BLOCKS}, audit AS (SELECT doc_id, count(*) AS blocks, count(*) FILTER ({_ISH}) AS headings, count(*) FILTER (tag = 'li') AS items, count(*) FILTER (tag = 'figure') AS images, CAST(coalesce(sum(length(text)) FILTER (tag <> 'figure'), 0) AS BIGINT) AS chars FROM blocks GROUP BY doc_id)"
 _CONTEXT = lambda a, b: f"substring(array_to_string(list(text) OVER (PARTITION BY doc_id ORDER BY block_no ROWS BETWEEN {a} PRECEDING AND {b} FOLLOWING), ' | '), 1, 1000) AS context"
 _ONCE = "(SELECT block_id, any_value(book) AS book, any_value(source) AS source, any_value(type) AS type, any_value(item) AS item FROM content_blocks GROUP BY block_id)"
-_PROSE = f"(length(line) > 260 AND NOT regexp_matches(line, {quoted(classify.PAGE_SUFFIX)}) AND NOT regexp_matches(substring(line, 1, 80), {quoted(classify.STRUCTURE)}))"
+_PROSE = f"(length(text) > 260 AND NOT regexp_matches(text, {quoted(classify.PAGE_SUFFIX)}) AND NOT regexp_matches(substring(text, 1, 80), {quoted(classify.STRUCTURE)}))"
+_CASE_LINES = f"case_lines AS (SELECT doc_id, book, unnest(range(len(s))) AS line_no, unnest(s) AS line FROM (SELECT doc_id, book, string_split(text, chr(10)) AS s FROM ({CASE_DOCS_SQL}) WHERE text IS NOT NULL))"
+_BOTH_LINES = LINES_SQL.replace("lines AS (", "table_lines AS (", 1) + f", {_CASE_LINES}, lines AS (SELECT * FROM table_lines UNION ALL SELECT * FROM case_lines)"
 
 SQL = {
     "markdown_blocks": f"WITH {_BLOCKS} SELECT * FROM blocks",
@@ -187,21 +214,24 @@ SQL = {
     "block_tag_counts": f"WITH {_BLOCKS} SELECT tag, count(*) AS blocks, CAST(sum(length(text)) AS BIGINT) AS chars FROM blocks GROUP BY tag",
     "page_quality_audit": f"WITH {_AUDIT} SELECT * FROM audit",
     "heading_stats": f"WITH {_BLOCKS} SELECT doc_id, count(*) AS headings, count(DISTINCT text) AS distinct_headings, max(length(text)) AS longest FROM blocks WHERE {_ISH} GROUP BY doc_id",
-    "duplicate_headings": f"WITH {_BLOCKS} SELECT doc_id, text, count(*) AS n FROM blocks WHERE {_ISH} GROUP BY doc_id, text HAVING count(*) > 1",
+    "duplicate_headings": f"WITH {_BLOCKS.replace(LINES_SQL, _BOTH_LINES)} SELECT doc_id, text, count(*) AS n FROM blocks WHERE {_ISH} GROUP BY doc_id, text HAVING count(*) > 1",
     "smallest_pages_topk": f"WITH {_AUDIT} SELECT doc_id, chars, blocks FROM audit ORDER BY chars, doc_id LIMIT 12",
     "structural_hits": f"WITH {_BLOCKS}, w AS (SELECT *, {_CONTEXT(1, 2)} FROM blocks) SELECT doc_id, block_no, tag, text, context FROM w WHERE ({_ISH} OR (regexp_matches(text, {quoted(classify.STRUCTURE)}) AND length(text) <= 180) OR text IN ({', '.join(map(quoted, classify.FRONT_WORDS))})) AND NOT regexp_matches(text, {quoted(classify.PAGE_ONLY)})",
     "context_window": f"WITH {_BLOCKS}, w AS (SELECT *, {_CONTEXT(2, 4)} FROM blocks) SELECT doc_id, block_no, context FROM w WHERE {_ISH}",
-    "toc_windows": f"WITH {LINES_SQL}, p AS (SELECT *, {_PROSE} AS prose, count(*) OVER (PARTITION BY doc_id) AS total FROM lines), q AS (SELECT *, prose AND coalesce(lag(prose, 1) OVER w, false) AND coalesce(lag(prose, 2) OVER w, false) AS third FROM p WINDOW w AS (PARTITION BY doc_id ORDER BY line_no)), h AS (SELECT doc_id, line_no AS start, total, row_number() OVER (PARTITION BY doc_id ORDER BY line_no) AS k FROM q WHERE regexp_matches(line, {quoted(classify.TOC_WORD)}) AND length(line) <= 80) SELECT doc_id, start, coalesce((SELECT min(line_no) FROM q WHERE q.doc_id = h.doc_id AND third AND line_no >= start + 11 AND line_no < start + 500) - start - 2, least(500, total - start)) AS n_lines FROM h WHERE k <= 8",
-    "window_concat": f"WITH {LINES_SQL}, n AS (SELECT *, lead(line) OVER (PARTITION BY doc_id ORDER BY line_no) AS next FROM lines) SELECT doc_id, line_no, {as_sql('key_resolve', chr(40) + 'line || chr(32) || next' + chr(41))} AS key FROM n WHERE next IS NOT NULL AND length(line) <= 200 AND length(next) <= 200",
-    "nth_occurrence": f"WITH {LINES_SQL}, n AS (SELECT *, row_number() OVER (PARTITION BY doc_id, line ORDER BY line_no) AS k FROM lines WHERE length(line) > 0) SELECT doc_id, line, line_no FROM n WHERE k = 2",
+    "toc_windows": f"""WITH {_BLOCKS}, tp AS (SELECT *, {_PROSE} AS prose, max(block_no) OVER (PARTITION BY doc_id) AS total FROM blocks), tq AS (SELECT *, prose AND coalesce(lag(prose, 1) OVER tw, false) AND coalesce(lag(prose, 2) OVER tw, false) AS third FROM tp WINDOW tw AS (PARTITION BY doc_id ORDER BY block_no)),
+    th AS (SELECT doc_id, block_no AS start, total, row_number() OVER (PARTITION BY doc_id ORDER BY block_no) AS k FROM tq WHERE regexp_matches(text, {quoted(classify.TOC_WORD)}) AND length(text) <= 80),
+    ts AS (SELECT doc_id, start, coalesce((SELECT min(block_no) FROM tq WHERE tq.doc_id = th.doc_id AND third AND block_no >= start + 11 AND block_no < start + 500) - start - 2, least(500, total - start + 1)) AS n_blocks FROM th WHERE k <= 8)
+    SELECT ts.doc_id, start, n_blocks, substring(string_agg('[' || block_no || ':' || tag || '] ' || text, chr(10) ORDER BY block_no), 1, 30000) AS text FROM ts JOIN blocks b ON b.doc_id = ts.doc_id AND block_no BETWEEN start AND start + greatest(n_blocks, 1) - 1 GROUP BY ts.doc_id, start, n_blocks""",
+    "window_concat": f"WITH {LINES_SQL}, n AS (SELECT *, lead(line, 1) OVER w AS a, lead(line, 2) OVER w AS b FROM lines WINDOW w AS (PARTITION BY doc_id ORDER BY line_no)), k AS (SELECT doc_id, line_no, 2 AS size, {as_sql('key_resolve', chr(40) + 'line || chr(32) || a' + chr(41))} AS key FROM n WHERE a IS NOT NULL UNION ALL SELECT doc_id, line_no, 3, {as_sql('key_resolve', chr(40) + 'line || chr(32) || a || chr(32) || b' + chr(41))} FROM n WHERE b IS NOT NULL) SELECT doc_id, line_no, size, sha256(key) AS key FROM k WHERE length(key) > 0",
+    "nth_occurrence": f"WITH {_BOTH_LINES}, c AS (SELECT doc_id, min(line_no) AS cursor FROM lines WHERE starts_with(line, '#') GROUP BY doc_id), n AS (SELECT l.*, row_number() OVER (PARTITION BY l.doc_id, line ORDER BY line_no) AS k FROM lines l LEFT JOIN c ON c.doc_id = l.doc_id WHERE length(line) > 0 AND line_no > coalesce(cursor, -1)) SELECT doc_id, line, line_no FROM n WHERE k = 2",
     "cumulative_shift": f"WITH {_BLOCKS}, s AS (SELECT *, CAST(coalesce(sum(CASE WHEN {_ISH} THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY block_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS shift FROM blocks) SELECT doc_id, block_no, shift FROM s WHERE tag = 'figure'",
     "broken_image_refs": f"WITH {_BLOCKS}, held AS (SELECT DISTINCT coalesce(json_extract_string(item, '$.img_path'), json_extract_string(item, '$.content.image_source.path')) AS path FROM content_blocks WHERE json_valid(item)) SELECT doc_id, count(*) AS broken FROM (SELECT doc_id, regexp_extract(text, {_I}, 2) AS path FROM blocks WHERE tag = 'figure') r WHERE NOT EXISTS (SELECT 1 FROM held WHERE held.path = r.path) GROUP BY doc_id",
     "body_heading_candidates": f"WITH {_BLOCKS}, k AS (SELECT *, CASE WHEN {_ISH} THEN 0 WHEN regexp_matches(text, {quoted(classify.STRUCTURE)}) THEN 1 END AS rank FROM blocks WHERE length(text) <= 90), n AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY rank, block_no) AS no FROM k WHERE rank IS NOT NULL) SELECT doc_id, rank, block_no, text FROM n WHERE no <= 120",
-    "demote_headings": f"WITH {LINES_SQL}, b AS (SELECT doc_id, line_no, {_STRIPPED(f'regexp_extract(line, {_H}, 2)')} AS text FROM lines WHERE regexp_matches(line, {_H})) SELECT doc_id, line_no, '**' || text || '**' AS text FROM b WHERE {classify.printed_entry.sql('text')}",
+    "demote_headings": f"WITH {_BOTH_LINES}, b AS (SELECT doc_id, line_no, {_STRIPPED(f'regexp_extract(line, {_H}, 2)')} AS text FROM lines WHERE regexp_matches(line, {_H})) SELECT doc_id, line_no, '**' || text || '**' AS text FROM b WHERE {classify.printed_entry.sql('text')}",
     "layout_type_histogram": f"SELECT source, CAST(sum(n) AS BIGINT) AS items, string_agg(type || ':' || n, ',' ORDER BY type || ':' || n) AS types FROM (SELECT source, type, count(*) AS n FROM {_ONCE} GROUP BY source, type) GROUP BY source",
     "inventory_hash": "SELECT doc_id, sha256(text) AS sha256 FROM documents WHERE text IS NOT NULL",
     "inventory_copies": "SELECT sha256(text) AS sha256, count(*) AS copies, min(doc_id) AS first_id FROM documents WHERE text IS NOT NULL GROUP BY 1 HAVING count(*) > 1",
-    "source_pick": f"SELECT book, arg_max(source, (n, -k)) AS source, max(n) AS items FROM (SELECT *, row_number() OVER (PARTITION BY book ORDER BY source) AS k FROM (SELECT book, source, count(*) AS n FROM {_ONCE} WHERE book IS NOT NULL AND source IS NOT NULL GROUP BY book, source)) GROUP BY book",
-    "job_order": f"SELECT book, CAST(sum(length(item)) AS BIGINT) AS size FROM {_ONCE} WHERE book IS NOT NULL GROUP BY book ORDER BY size, book LIMIT 100",
+    "source_pick": f"SELECT book, source, tier, size FROM (SELECT *, row_number() OVER (PARTITION BY book ORDER BY tier, size DESC, source) AS k FROM (SELECT book, source, min(CASE WHEN contains(item, '\"content\"') THEN 0 ELSE 1 END) AS tier, CAST(coalesce(sum(length(item)), 0) AS BIGINT) AS size FROM {_ONCE} WHERE book IS NOT NULL AND source IS NOT NULL GROUP BY book, source)) WHERE k = 1",
+    "job_order": f"SELECT book, CAST(sum(length(item)) AS BIGINT) AS size FROM {_ONCE} WHERE book IS NOT NULL GROUP BY book ORDER BY size, book",
 }
 QUERIES = {k: globals()["blocks" if k == "markdown_blocks" else k] for k in SQL} | {"job_ranks": job_ranks}

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 import zipfile
@@ -42,11 +43,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder the cluster names for checkpoints.
 
-    Only where the session names none (tests on one machine) a temporary folder is set.
+    Only on one machine (a local master) a temporary folder is set where the session names none. On a cluster every executor would
+    write to a disk of its own, so there a missing folder is an error.
     """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
         context = spark.sparkContext.getCheckpointDir()
+        if not context and not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         found = context or os.path.join(tempfile.gettempdir(), f"folianth-{uuid.uuid4().hex[:8]}")
         spark.conf.set("spark.checkpoint.dir", found)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -54,12 +58,6 @@ def shared_dir(spark: SparkSession) -> str:
     return found
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Materialise in the shared folder, so that a lost executor costs no recomputation."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def written(df: DataFrame, label: str, partition_by: list[str] | None = None) -> DataFrame:
     """Write as Parquet into the shared folder and read it again: columns can be pruned afterwards."""
     spark = df.sparkSession

@@ -1,4 +1,4 @@
-"""Every registered query runs on the smallest tables; those with SQL agree with it."""
+"""Every registered core query runs on the smallest tables; those with SQL agree with it, and none is empty on both sides."""
 
 import math
 import os
@@ -7,9 +7,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from folianth.plans import catalog
 
 DATA = "/root/testdata/sf0.001"
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = catalog.queries(), catalog.oracle_sql()
+#: Nothing on the smallest tables meets these.
+MAY_BE_EMPTY = {"inventory_copies", "coordinate_drift", "worst_coverage_topk", "coverage_report", "coverage_gate", "unexplained_additions"}
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables")
 
 
@@ -30,11 +33,12 @@ def plain(v):
     return "[" + ",".join(map(plain, v)) + "]" if isinstance(v, (list, tuple)) else str(v)
 
 
-@pytest.mark.parametrize("name", sorted(n for n in QUERIES if not n.startswith("p")) + ["p4_found", "p4_entries_table", "page_quality_audit"])
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, duck, name):
     df = QUERIES[name](spark, DATA)
     columns = sorted(df.columns)
     rows = sorted(tuple(plain(r[c]) for c in columns) for r in df.collect())
+    assert rows or name in MAY_BE_EMPTY
     if name in SQL:
         got = duck.execute(SQL[name])
         names = [d[0] for d in got.description]
@@ -45,3 +49,4 @@ def test_query(spark, duck, name):
 
 def test_names():
     assert set(SQL) <= set(QUERIES) and "page_quality_audit" in QUERIES
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
