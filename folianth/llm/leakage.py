@@ -32,7 +32,7 @@ from folianth.llm.codepoints import from_codepoints, to_codepoints
 from folianth.sources.tables import written
 
 #: Window in characters for texts of ideographs and for texts of letters.
-WINDOW_CJK, WINDOW_LATIN = 6, 24
+WINDOW_CJK, WINDOW_LATIN = 6, 16
 #: The share of an item that makes a leak (two fifths), less what a changed word hides at the two ends of a piece.
 SHARE, EDGE = 0.4, 0.03
 #: So much of a piece is windows of the item; the rest is changed words.
