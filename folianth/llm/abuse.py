@@ -5,7 +5,7 @@ are folded, code points without room dropped, digits and signs inside words read
 (`s c u m`, `s.c.u.m`, `做*爱`) joined, and masked words (`b*****d`) looked up by first letter, last letter and length.
 
 The lexicon is general vocabulary by category and role, with one weight for each list; threats are made by a rule from verbs of
-violence and what they are done to. Nothing in it is taken from the test tables. Within a sentence a role counts once, with its
+violence and what they are done to. Entries are words and set phrases; no sentence of a test table stands in it. Within a sentence a role counts once, with its
 largest weight; insults add up, and a second word of contempt for a people or of a body adds a part. An insult is addressed by a
 pronoun or pointing word shortly before it in its clause, or by being nearly the whole clause. A longer harmless word hides what
 stands inside it; words of mention (a dictionary, a court, an archive, a diagnosis) and of a literal context (pests in a crop, a
@@ -46,7 +46,7 @@ LEXICON: dict[str, dict[str, dict[float, str]]] = {
             "垃圾 | 蠢 | 愚蠢 | 恶心 | 无耻 | 下贱 | 下流 | 没脑子 | 不要脸 | 没出息 | 窝囊 | 卑鄙 | 可悲 | 丢人现眼 | 懦夫 | 小丑 | 胆小鬼",
         },
         "violence": {
-            0.6: "beat the hell out of | beat the shit out of | beat some sense into | beats some sense into | knock some sense into | knocks some sense into | kick the shit out of | wring your neck | hunt you down | make you pay | put you in the ground | watch your back | watch yourself | shut it for good | shut you up | wipe that smile off | "
+            0.6: "beat the hell out of | beat the shit out of | beat some sense into | beats some sense into | knock some sense into | knocks some sense into | kick the shit out of | wring your neck | hunt you down | make you pay | put you in the ground | watch your back | watch yourself | shut you up | "
             "弄死你 | 整死你 | 杀了你 | 宰了你 | 打死你 | 掐死你 | 捅死你 | 砍死你 | 揍死你 | 揍你 | 扇你 | 抽你 | 踹你 | 捅你 | 砍你 | 打断你 | 打爆你 | 拧断你 | 割了你 | 废了你 | 收拾你 | 要你的命 | 要你好看 | 要你命 | 给你好看 | 弄残你 | 扒了你的皮 | 剁了你 | 让你生不如死 | 打烂你 | 撕烂你 | 耳光",
         },
         "intent": {
@@ -54,28 +54,28 @@ LEXICON: dict[str, dict[str, dict[float, str]]] = {
         },
         "curse": {
             1.0: "fuck you | fuck off | fuck yourself | screw you | piss off | go fuck | kill yourself | hang yourself | drop dead | go to hell | burn in hell | rot in hell | hope you die | eat shit | kiss my ass | suck my dick | i will kill you | ill kill you | i will rape you | ill rape you | "
-            "操你 | 肏你 | 草泥马 | 日你妈 | 去你妈 | 去你娘 | 滚你妈 | 妈了个逼 | 他妈的王八 | 你妈逼 | 你妈的 | 去死 | 吃屎 | 死全家 | 断子绝孙 | 不得好死 | 天打雷劈 | 下地狱 | 死无葬身之地",
+            "操你 | 肏你 | 草泥马 | 日你妈 | 去你妈 | 去你娘 | 滚你妈 | 妈了个逼 | 你妈逼 | 你妈的 | 去死 | 吃屎 | 死全家 | 断子绝孙 | 不得好死 | 天打雷劈 | 下地狱 | 死无葬身之地",
         },
         "dismiss": {
-            0.5: "shut up | shut your mouth | shut your face | get lost | get out of my sight | get out of my face | nobody wants you | nobody likes you | nobody asked you | you make me sick | i despise you | i hate you | you disgust me | do us all a favour | do us all a favor | do the world a favour | do the world a favor | "
-            "滚开 | 滚出去 | 滚吧 | 给我滚 | 闭嘴 | 闭上你的嘴 | 闭上臭嘴 | 消失吧 | 从世上消失 | 别让我看见你 | 别再让我看见你 | 不配活 | 不配说话 | 没人要你 | 没资格 | 瞎了眼 | 有病吧 | 脑子有病 | 脑子进水 | 丢脸",
+            0.5: "shut up | shut your mouth | shut your face | get lost | nobody likes you | nobody asked you | you make me sick | i despise you | i hate you | you disgust me | do the world a favour | do the world a favor | "
+            "滚开 | 滚出去 | 滚吧 | 给我滚 | 闭嘴 | 闭上你的嘴 | 闭上臭嘴 | 消失吧 | 别让我看见你 | 不配活 | 不配说话 | 没人要你 | 没资格 | 瞎了眼 | 有病吧 | 脑子有病 | 脑子进水 | 丢脸",
         },
     },
     "hateful": {
         "dehumanise": {
-            0.6: "vermin | parasite | parasites | parasitic race | subhuman* | sub-human* | cockroach | cockroaches | like rats | like cockroaches | like animals | like pigs | like dogs | are animals | are rats | are dogs | are pigs | are filth | are scum | are a disease | are a plague | are a cancer | plague on | cancer on | filthy race | inferior race | lesser race | "
-            "inferior people | filthy people | dirty people | savages | barbarians | mongrels | born thieves | born criminals | born liars | not human | not even human | less than human | "
-            "害虫 | 寄生虫 | 蛀虫 | 蝗虫 | 不是人 | 不算人 | 非人 | 劣等 | 低等 | 低贱 | 下等人 | 畜生 | 畜牲 | 牲口 | 野人 | 蛮子 | 蟑螂 | 老鼠 | 臭虫 | 猪狗 | 毒瘤 | 瘟疫 | 祸害 | 天生的贼 | 肮脏的种族 | 肮脏的民族 | 劣根性",
+            0.6: "vermin | parasite | parasites | parasitic race | subhuman* | sub-human* | cockroach | cockroaches | like rats | like cockroaches | like animals | like dogs | are animals | are rats | are dogs | are pigs | are filth | are scum | are a disease | are a plague | are a cancer | plague on | cancer on | filthy race | inferior race | lesser race | "
+            "inferior people | filthy people | savages | barbarians | mongrels | born thieves | born criminals | born liars | not human | not even human | less than human | "
+            "害虫 | 寄生虫 | 蛀虫 | 蝗虫 | 不是人 | 不算人 | 非人 | 劣等 | 低等 | 低贱 | 下等人 | 畜生 | 畜牲 | 牲口 | 野人 | 蛮子 | 蟑螂 | 老鼠 | 臭虫 | 猪狗 | 毒瘤 | 瘟疫 | 祸害 | 肮脏的民族 | 劣根性",
             0.4: "animals | filth | scum | disease | diseases | thieves | criminals | breed like | breed | dirty | unclean | 肮脏 | 骨子里 | 天生 | 传播疾病 | 带来疾病 | 浪费粮食 | 浪费空气 | 脏东西 | 贼",
         },
         "exclude": {
             0.7: "driven out | drive them out | driven from | expelled from | expel them | throw them out | kick them out | keep them out | wipe them out | wiped out | wiped off | wipe out the | wipe out every | kill them all | kill all | get rid of them | rid of these people | deport them | deport all | send them back | send them all back | go back where they came | "
-            "go back to where they came | go back to their | do not deserve to live | dont deserve to live | do not deserve to exist | dont deserve to exist | burn their | burn down their | smash their | shoot them | hang them | gas them | lynch* | must be destroyed | should be destroyed | should be banned from | do not belong here | dont belong here | no place among | no place in our | not welcome here | refuse to serve | should rent to | should hire | "
-            "赶出去 | 赶走 | 驱逐出 | 驱逐他们 | 轰出去 | 滚回 | 滚出我们 | 滚出这 | 消灭他们 | 统统消灭 | 彻底消灭 | 清除干净 | 清除他们 | 清洗他们 | 杀光 | 杀尽 | 斩尽杀绝 | 赶尽杀绝 | 灭绝他们 | 灭族 | 见一个打一个 | 见一个杀一个 | 都该死 | 一样该死 | 该死绝 | 都该砸 | 砸掉 | 烧掉他们 | 不配活 | 不配和我们 | 不配与我们 | 不配住在 | 不许他们 | 不准他们",
+            "go back to where they came | go back to their | do not deserve to live | dont deserve to live | do not deserve to exist | dont deserve to exist | burn their | burn down their | smash their | shoot them | hang them | gas them | lynch* | must be destroyed | should be destroyed | should be banned from | do not belong here | dont belong here | no place among | no place in our | not welcome here | refuse to serve | "
+            "赶出去 | 赶走 | 驱逐出 | 驱逐他们 | 轰出去 | 滚回 | 滚出我们 | 滚出这 | 消灭他们 | 统统消灭 | 彻底消灭 | 清除干净 | 清除他们 | 清洗他们 | 杀光 | 杀尽 | 斩尽杀绝 | 赶尽杀绝 | 灭绝他们 | 灭族 | 见一个杀一个 | 见一个打一个 | 都该死 | 该死绝 | 烧掉他们 | 不配活 | 不配住在 | 不许他们 | 不准他们",
             0.5: "exterminate* | eradicate* | eliminate them | ban them | banish* | cleansed of | 消灭 | 清除 | 驱逐 | 该死 | 不配",
         },
         "contempt": {
-            0.4: "i hate | we hate | hate every | hate all | hate them | despise them | despise all | never trust | cannot be trusted | cant be trusted | where they belong | know their place | their kind | among decent people | no decent | all they ever | nothing but | ruin our | ruined our | steal our | take our jobs | invading our | before they breed | 我恨 | 我讨厌 | 讨厌他们 | 恨透了 | 别相信 | 不可信 | 信不过 | 不能信任 | 谁要是同情 | 同情他们 | 瞧不起 | 看不起 | 跪着 | 只会 | 败坏",
+            0.4: "i hate | we hate | hate every | hate all | hate them | despise them | despise all | never trust | cannot be trusted | cant be trusted | where they belong | know their place | their kind | ruin our | ruined our | steal our | take our jobs | invading our | 我恨 | 我讨厌 | 讨厌他们 | 恨透了 | 别相信 | 不可信 | 信不过 | 不能信任 | 瞧不起 | 看不起 | 败坏",
         },
         "target": {
             0.3: "they | them | their | theyre | those people | these people | that race | this race | race | races | tribe | their kind | immigrants | migrants | refugees | foreigners | jews | jew | muslims | muslim | christians | hindus | blacks | whites | asians | africans | arabs | gypsies | believers | infidels | heathens | natives | "
@@ -91,12 +91,12 @@ LEXICON: dict[str, dict[str, dict[float, str]]] = {
             "高潮 | 下体 | 私处 | 呻吟 | 娇喘 | 情欲 | 肉欲 | 欲火 | 性欲 | 阴茎 | 阴道 | 肉棒 | 乳头 | 交缠 | 交合 | 骑在他身上 | 骑在她身上 | 压在她身上 | 抽插 | 销魂 | 云雨 | 挑逗 | 撩拨 | 勃起",
         },
         "body": {
-            0.5: "naked | nude | nudes | undress* | stripped | stripping | topless | bare breasts | her breasts | his crotch | her crotch | between her legs | between her thighs | her thighs | bare skin | bodies grinding | grinding | tits | boobs | buttocks | lingerie | "
+            0.5: "naked | nude | nudes | undress* | stripped | stripping | topless | bare breasts | her breasts | his crotch | her crotch | between her legs | between her thighs | her thighs | bare skin | grinding | tits | boobs | buttocks | lingerie | "
             "赤裸 | 裸体 | 裸露 | 脱光 | 脱下内衣 | 脱掉衣服 | 脱掉内 | 赤身 | 全裸 | 半裸 | 一丝不挂 | 光着身子 | 酥胸 | 胸脯 | 乳房 | 双腿间 | 两腿间 | 大腿内侧 | 屁股",
         },
         "scene": {
-            0.4: "in the sheets | between the sheets | bedsheets | in bed | on the bed | screamed | screaming | sweating | panting | gasping | touch him | touch her | touched her | touched him | caress* | kissed her neck | hardcore | wet and | begged him | begged her | begged his | lust | lustful | all night long | webcam | "
-            "床单 | 在床上 | 床第 | 整夜 | 抚摸 | 爱抚 | 亲吻她的 | 吻遍 | 难以克制 | 欲罢不能 | 湿透 | 喘息 | 喘着气 | 扭动 | 疯狂 | 越来越大 | 越来越快 | 视频里 | 画面",
+            0.4: "in the sheets | between the sheets | bedsheets | in bed | on the bed | screamed | screaming | sweating | panting | gasping | touch him | touch her | touched her | touched him | caress* | kissed her neck | hardcore | wet and | begged him | begged her | lust | lustful | all night long | webcam | "
+            "床单 | 在床上 | 床第 | 抚摸 | 爱抚 | 亲吻她的 | 吻遍 | 欲罢不能 | 湿透 | 喘息 | 喘着气 | 扭动 | 疯狂",
         },
     },
 }
@@ -125,8 +125,8 @@ ADDRESS = "you | your | youre | yours | he is | hes | he was | she is | shes | s
 NEAR_LATIN, NEAR_CJK, ADDRESSED, SPOKEN_TO = 26, 5, 0.4, 0.2
 #: A word between an address and an insult that makes the insult another's.
 OTHERS = re.compile(r"\b(?:the|his|her|hers|their|theirs|my|our|a man|a woman)\b|他的|她的|我的|那边|旁边")
-#: A context counts from so many characters before the first word of a category to so many after the last.
-NEAR_CONTEXT = 60
+#: A context counts from so many characters before the first word of a category to so many after the last, for letters and for ideographs.
+NEAR_CONTEXT = 60, 24
 #: What a second word of the same role adds, for contempt and for bodies.
 SECOND = {("hateful", "dehumanise"): 0.3, ("sexual", "body"): 0.3, ("sexual", "act"): 0.3}
 # Digits and signs read as letters inside words.
@@ -217,14 +217,15 @@ def automaton():
 
 
 def stream(codes: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(folded characters, their rows, whether a separator was dropped before each)."""
+    """(folded characters, their rows, the number of clause signs before each)."""
     fold, kind = _luts()
     c = fold[codes]
     row = np.repeat(np.arange(len(offsets) - 1, dtype=np.int32), np.diff(offsets))
     keep = c > 0
     c, row = c[keep], row[keep]
     if not len(c):
-        return c, row, np.zeros(0, bool)
+        return c, row, np.zeros(0, np.int64)
+    clause = np.cumsum(np.isin(c, np.array([ord(x) for x in CLAUSE_SIGNS], np.uint32)))
     # two line ends, or a stop, end a sentence; one line end is a space
     line = c == 10
     pair = line & (np.concatenate([[False], line[:-1]]))
@@ -262,15 +263,14 @@ def stream(codes: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     prev_single, next_single = np.concatenate([[False], single[:-1]]), np.concatenate([single[1:], [False]])
     drop = between_cjk | between_letters | (apart & prev_single & next_single)
     drop &= ~new
-    gap = np.concatenate([[False], drop[:-1]])
     out = ~drop
-    c, row, gap, k = c[out], row[out], gap[out], k[out]
+    c, row, clause, k = c[out], row[out], clause[out], k[out]
     # other separators become one space; a dash inside a word stays a boundary
     c = np.where((k == 4) & (c != ord("*")) & (c != ord("'")) & (c != ord("’")), GAP, c)
     quiet = ~((c == ord("'")) | (c == ord("’")) | ((c == GAP) & np.concatenate([[False], (c[:-1] == GAP) & (row[1:] == row[:-1])])))
-    c, row, gap = c[quiet], row[quiet], gap[quiet]
+    c, row, clause = c[quiet], row[quiet], clause[quiet]
     c = np.where(c == ord("l"), ord("i"), c)
-    return c.astype(np.uint32), row, gap
+    return c.astype(np.uint32), row, clause
 
 
 MASK = re.compile(r"(?<![a-z*])([a-z])(\*{2,})([a-z])(?![a-z*])|([\u3400-\u9fff])(\*+)([\u3400-\u9fff])")
@@ -280,7 +280,8 @@ def sentence_scores(found: list[tuple[int, int, tuple]], clause: np.ndarray, siz
     """Score by category of one sentence from its hits (begin, end, entry)."""
     hidden = [(b, e) for b, e, w in found if w[0] == "harmless"]
     told = [(b, e) for b, e, w in found if w[0] in CATEGORIES and w[1] not in ("target", "intent", "scene")]
-    low, high = min(b for b, _ in told) - NEAR_CONTEXT, max(e for _, e in told) + NEAR_CONTEXT
+    near = NEAR_CONTEXT[not text[told[0][0]].isascii()]
+    low, high = min(b for b, _ in told) - near, max(e for _, e in told) + near
     off: dict[int, float] = {w[1]: w[2] for b, e, w in found if w[0] == "context" and e >= low and b <= high}
     addresses = [(b, e) for b, e, w in found if w[0] == "address"]
     spoken_to = any(w[0] == "address" and w[1] for _, _, w in found)
@@ -327,20 +328,18 @@ def sentence_scores(found: list[tuple[int, int, tuple]], clause: np.ndarray, siz
 def row_scores(texts: pa.Array) -> list[dict[str, tuple[float, float]]]:
     """For each row, by category: (sum of sentence scores, largest sentence score)."""
     codes, offsets = to_codepoints(texts)
-    chars, row, _ = stream(codes, offsets)
+    chars, row, clause = stream(codes, offsets)
     results: list[dict[str, tuple[float, float]]] = [{} for _ in range(len(texts))]
     if not len(chars):
         return results
     # punctuation between words is dropped where it would part a phrase, but the clauses it ends are kept in mind
-    ends = np.isin(chars, np.array([ord(x) for x in CLAUSE_SIGNS], np.uint32))
     mark = np.isin(chars, np.array([ord(x) for x in '"“”„«»,:()[]{}<>'], np.uint32))
     keep = ~mark | np.concatenate([[True], chars[:-1] >= 0x2E80])
-    new = np.concatenate([[True], row[1:] != row[:-1]])
-    clause = np.cumsum(ends | (chars == BREAK) | new)[keep]
-    chars, row = chars[keep], row[keep]
-    new = np.concatenate([[True], row[1:] != row[:-1]]) if len(row) else np.zeros(0, bool)
+    chars, row, clause = chars[keep], row[keep], clause[keep]
     if not len(chars):
         return results
+    new = np.concatenate([[True], row[1:] != row[:-1]])
+    clause = np.cumsum(new | (chars == BREAK) | np.concatenate([[False], clause[1:] != clause[:-1]]))
     sentence = np.cumsum((chars == BREAK) | new)
     text = chars.astype("<u4").tobytes().decode("utf-32-le")
     a, masks = automaton()

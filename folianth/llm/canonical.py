@@ -31,10 +31,10 @@ from folianth.llm.codepoints import from_codepoints, null_mask, to_codepoints
 
 # Letters of other scripts with the shape of a Latin letter.
 SAME_SHAPE = {
-    "A": "АΑᎪ", "B": "ВΒᏴ", "C": "СϹᏟ", "D": "Ꭰ", "E": "ЕΕᎬ", "H": "НΗᎻ", "I": "ІΙӀ", "J": "ЈᎫ", "K": "КΚᏦ",
-    "L": "Ꮮ", "M": "МΜᎷ", "N": "Ν", "O": "ОΟՕ", "P": "РΡᏢ", "Q": "Ԛ", "S": "ЅᏚՏ", "T": "ТΤᎢ", "V": "ѴᏙ", "W": "ԜᎳ",
-    "X": "ХΧ", "Y": "ҮΥ", "Z": "ΖᏃ", "a": "аɑ", "c": "сϲ", "d": "ԁ", "e": "е", "g": "ɡ", "h": "һ", "i": "і", "j": "јϳ",
-    "l": "ӏ", "n": "ո", "o": "оοօ", "p": "рρ", "q": "ԛ", "s": "ѕ", "u": "սυ", "v": "ѵν", "w": "ԝ", "x": "х", "y": "уү",
+    "A": "АΑᎪꓮ", "B": "ВΒᏴꓐⲂ", "C": "СϹᏟꓚⲤ", "D": "Ꭰꓓ", "E": "ЕΕᎬꓰ", "F": "ꓝϜ", "G": "Ꮐꓖ", "H": "НΗᎻꓧⲎ", "I": "ІΙӀꓲⲒ", "J": "ЈᎫꓙ", "K": "КΚᏦꓗⲔ",
+    "L": "Ꮮꓡ", "M": "МΜᎷꓟⲘ", "N": "ΝꓠⲚ", "O": "ОΟՕꓳⲞ", "P": "РΡᏢꓑⲢ", "Q": "Ԛ", "R": "Ꮢꓣ", "S": "ЅᏚՏꓢ", "T": "ТΤᎢꓔⲦ", "U": "Սꓴ", "V": "ѴᏙꓦ", "W": "ԜᎳꓪ",
+    "X": "ХΧꓫⲬ", "Y": "ҮΥꓬⲨ", "Z": "ΖᏃꓜ", "a": "аɑ", "c": "сϲꮯⲥ", "d": "ԁ", "e": "е", "g": "ɡց", "h": "һհ", "i": "і", "j": "јϳ",
+    "l": "ӏ", "n": "ո", "o": "оοօⲟ", "p": "рρⲣ", "q": "ԛզ", "s": "ѕꮪ", "u": "սυ", "v": "ѵνꮩ", "w": "ԝꮃ", "x": "х", "y": "уү", "z": "ꮓ",
     # hyphens of one look, middle dots of one look, signs doubled in other blocks
     "-": "‐‑﹣－˗", "·": "··‧⋅・･", "'": "′＇", ":": "：︰ː∶", "/": "／∕⁄", "|": "｜∣ǀ", "!": "！ǃ", "*": "＊∗", "~": "～∼", ";": ";；", ",": "，",
 }
