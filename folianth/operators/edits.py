@@ -78,7 +78,7 @@ def edged(nav: DataFrame, additions: DataFrame) -> DataFrame:
     clean = rules.apply("clean_text", F.col("label"))
     known = nav.select("book", clean.alias("key")).distinct().withColumn("held", F.lit(True))
     ask = additions.withColumn("key", clean).join(known, ["book", "key"], "left")
-    ask = ask.withColumn("error", F.when(~F.col("position").isin("start", "end"), "invalid position").when(F.col("held"), "label exists"))
+    ask = ask.withColumn("error", F.when(~F.coalesce(F.col("position").isin("start", "end"), F.lit(False)), "invalid position").when(F.col("held"), "label exists"))
     new = ask.where(F.col("error").isNull()).select("book", "label", F.when(F.col("position") == "start", 0).otherwise(2).alias("edge"), F.col("ord").cast("bigint").alias("k"), F.array().cast("array<int>").alias("path"))
     old = nav.select("book", "label", F.lit(1).alias("edge"), F.col("entry_id").cast("bigint").alias("k"), "path")
     rows = numbered(old.unionByName(new), ["book"], ["edge", "path", "k"], F.col("edge") * (1 << 40) + F.floor(F.coalesce(_top(), F.lit(0)) / 64), "play_order")

@@ -84,6 +84,9 @@ def resolve(entries: DataFrame, blocks: DataFrame, books: DataFrame | None = Non
         e = e.join(books.select("book", F.col("start_file").alias("book_file"), F.col("start_block").alias("book_block"), F.col("exact").alias("book_exact")), "book", "left").withColumn("exact", F.coalesce("exact", "book_exact")).drop("book_exact")
     else:
         e = e.withColumns({"book_file": F.lit(None).cast("int"), "book_block": F.lit(None).cast("int")})
-    places = candidates(e, blocks).groupBy("entry_id").agg(F.collect_list(F.struct("file_index", "block")).alias("places"))
+    # a place outside the files that an entry may look in can never be its hit
+    bounds = e.select("entry_id", F.coalesce("start_file", "book_file", F.lit(0)).alias("low"), F.coalesce("max_file", F.lit(2**31 - 1)).alias("high"))
+    inside = candidates(e, blocks).join(bounds, "entry_id").where(F.col("file_index").between(F.col("low"), F.col("high")))
+    places = inside.groupBy("entry_id").agg(F.collect_list(F.struct("file_index", "block")).alias("places"))
     rows = e.select("book", "entry_id", "seq", "occurrence", "start_file", "max_file", "file_index", "block", "book_file", "book_block").join(places, "entry_id", "left")
     return rows.groupBy("book").applyInPandas(_follow, RESOLVED)

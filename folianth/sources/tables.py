@@ -58,6 +58,19 @@ def shared_dir(spark: SparkSession) -> str:
     return found
 
 
+_made: list[str] = []
+
+
+def clear_written(spark: SparkSession) -> int:
+    """Delete the tables that operators of this process wrote to the shared folder; the number deleted. DataFrames that read them end here."""
+    system = spark.sparkContext._jvm.org.apache.hadoop.fs
+    done = 0
+    while _made:
+        path = system.Path(_made.pop())
+        done += bool(path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True))
+    return done
+
+
 def written(df: DataFrame, label: str, partition_by: list[str] | None = None) -> DataFrame:
     """Write as Parquet into the shared folder and read it again: columns can be pruned afterwards."""
     spark = df.sparkSession
@@ -65,5 +78,6 @@ def written(df: DataFrame, label: str, partition_by: list[str] | None = None) ->
     writer = df.write
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+    _made.append(path)
     writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -66,7 +66,9 @@ def test_files(spark, tmp_path):
     (tmp_path / "in" / "p1" / "a_content_list.json").write_text('﻿[[{"type":"text","text":"一"}],[{"type":"x"}, 3]]', encoding="utf-8")
     (tmp_path / "in" / "p2" / "b_content_list_v2.json").write_text('[{"type":"y"}]', encoding="utf-8")
     (tmp_path / "in" / "p2" / "c_content_list.json").write_text("{broken", encoding="utf-8")
-    got = files.read_layout(spark, str(tmp_path / "in")).orderBy("part", "seq").collect()
+    rows = files.read_layout(spark, str(tmp_path / "in"))
+    assert [(r.part, r.prefix, r.error) for r in rows.where("error IS NOT NULL").collect()] == [(3, "p003", "not a list of items")]
+    got = rows.where("error IS NULL").orderBy("part", "seq").collect()
     assert [(r.part, r.seq, json.loads(r.item)["type"]) for r in got] == [(1, 0, "text"), (1, 1, "x"), (2, 0, "y")]
     report = str(tmp_path / "r.csv")
     assert files.write_report(spark.createDataFrame([("a", 1), (None, 2)], "name string, n int"), report) == 2
@@ -79,3 +81,40 @@ def test_files(spark, tmp_path):
     assert json.loads(spec.collect()[0].spec)["entries"][0]["children"][1]["label"] == "C"
     back = nodes(spec.select(F.lit(1).alias("id"), "spec"), "id", "spec", "label")
     assert {(r.label, r.parent_path) for r in back.collect()} == {("A", ""), ("B", "entries[0]"), ("C", "entries[0]"), ("D", "")}
+
+
+def test_later_duplicates_equal_all_pairs(spark):
+    rng = random.Random(7)
+    rows = [(rng.choice("bc"), i, i, "".join(rng.choices("甲乙丙", k=rng.randint(0, 4)))) for i in range(120)]
+    got = {r.entry_id for r in L.later_duplicates(spark.createDataFrame(rows, "book string, entry_id bigint, seq int, label string")).collect()}
+    assert got == {i for b, i, _, x in rows for c, j, _, y in rows if b == c and j > i and x and y and (x in y or y in x)}
+
+
+def test_patterns_equal_the_shell(spark):
+    import fnmatch
+
+    rng = random.Random(11)
+    names = ["".join(rng.choices("ab.[]", k=rng.randint(1, 5))) for _ in range(60)]
+    patterns = ["".join(rng.choices(["a", "b", ".", "*", "?"], k=rng.randint(1, 4))) for _ in range(40)]
+    got = {r.pattern: (r.book, r.matches) for r in files.find_books(spark.createDataFrame([(p,) for p in patterns], "pattern string"), spark.createDataFrame([(n,) for n in names], "book string")).collect()}
+    for p in set(patterns) - set(names):
+        met = sorted({n for n in names if fnmatch.fnmatchcase(n, p)})
+        if p.strip("?*"):
+            assert got[p] == (met[0] if len(met) == 1 else None, len(met)), p
+
+
+def test_the_shared_folder_is_asked_for_on_a_cluster():
+    import pytest
+
+    from folianth.sources.tables import shared_dir
+
+    class Session:
+        class conf:  # noqa: N801
+            get = staticmethod(lambda name, default: default)
+
+        class sparkContext:  # noqa: N801
+            getCheckpointDir = staticmethod(lambda: None)  # noqa: N815
+            master = "spark://head:7077"
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(Session)

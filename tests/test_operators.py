@@ -31,7 +31,17 @@ def test_layout(spark):
     df = spark.createDataFrame(rows, "book string, seq int, block_id bigint, type string, item string")
     got = {r.seq: r.markdown for r in layout.rendered(df).collect()}
     assert got == {0: "第一章 示例标题", 1: "**第一章 示例标题**", 2: "# 第一章 起", 4: "<table></table>\n\n*c*", 5: "![image](a.png)", 6: "```py\na\n  b\n```", 7: "plain"}
-    assert layout.parts(df, 5).orderBy("part").select("part").collect() == [(0,), (1,)] or layout.parts(df, 5).count() == 2
+    assert layout.parts(layout.rendered(df), 5).count() == 2
+
+
+def test_layout_of_any_depth(spark):
+    deep = "x"
+    for _ in range(3000):
+        deep = {"content": [deep]}
+    assert layout.span_text(deep) == "x" and layout.span_text({"style": "a", "bbox": [1], "img_bbox": [2], "sub": ["b", {"type": "t", "text": "c"}]}) == "a bc"
+    heads = spark.createDataFrame([("b", "Tides", "A. Keel"), ("c", "", None)], "book string, title string, author string")
+    rows = spark.createDataFrame([("b", 0, 1, "one"), ("b", 7, 2, "two"), ("c", 1, 3, "three")], "book string, seq int, block_id bigint, markdown string")
+    assert {(r.book, r.part): r.markdown for r in layout.parts(rows, 5, heads).collect()} == {("b", 0): "% Tides\n\n% A. Keel\n\none\n", ("b", 1): "two\n", ("c", 0): "three\n"}
 
 
 def test_resolve_against_a_plain_fold(spark):
