@@ -206,17 +206,21 @@ def hits(texts: pa.Array, items: Items) -> tuple[np.ndarray, ...] | None:
         lo = np.searchsorted(grams, h[ok])
         count = np.searchsorted(grams, h[ok], side="right") - lo
         every = np.repeat(lo, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-        row, ok = np.repeat(row, count), np.repeat(ok, count)
-        same = np.ones(len(every), bool)
-        start = items.begins[who[every]] + at[every]
-        for k in range(n):  # one hash may stand for two windows
-            same &= items.chars[start + k] == chars[ok + k]
-        every, row, ok = every[same], row[same], ok[same]
-        found.append(np.stack([row, who[every], at[every], ok, np.full(len(every), n), every]))
+        found.append(np.stack([np.repeat(row, count), who[every], at[every], np.repeat(ok, count), np.full(len(every), n), every]))
     if not found:
         return None
     all_ = np.concatenate(found, axis=1)
-    return *all_[:, np.lexsort((all_[3], all_[1], all_[0]))], offsets, places
+    return *all_[:, np.lexsort((all_[3], all_[1], all_[0]))], offsets, places, chars
+
+
+def compared(items: Items, chars: np.ndarray, item: np.ndarray, i: np.ndarray, j: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Which hits hold character by character: one hash may stand for two windows."""
+    same = np.ones(len(i), bool)
+    start = items.begins[item] + i
+    for k in range(int(n.max(initial=0))):
+        inside = k < n
+        same[inside] &= items.chars[start[inside] + k] == chars[j[inside] + k]
+    return same
 
 
 def pairs(row: np.ndarray, item: np.ndarray, items: Items) -> np.ndarray:
@@ -230,13 +234,13 @@ def chance(texts: pa.Array, items: Items, counts: dict[int, np.ndarray]) -> None
     got = hits(texts, items)
     if got is None:
         return
-    row, item, _, _, n, gram, _, _ = got
+    row, item, _, _, n, gram, _, _, _ = got
     at = pairs(row, item, items)
     few = np.diff(at) < CHANCE * (np.array(items.sizes) - np.array(items.windows) + 1)[item[at[:-1]]]
     keep = np.repeat(few, np.diff(at))
     for w, into in counts.items():
         own = keep & (n == w)
-        into += np.bincount(np.unique(np.stack([row[own], gram[own]]), axis=1)[1], minlength=len(into))
+        into += np.bincount(np.unique(row[own] * len(into) + gram[own]) % len(into), minlength=len(into))
 
 
 def copies(i: np.ndarray, j: np.ndarray, n: int, size: int, rare: np.ndarray, share: float) -> list[tuple[int, list[tuple[int, int, int, int]]]]:
@@ -261,15 +265,26 @@ def scan(texts: pa.Array, items: Items, share: float = SHARE) -> Iterator[tuple[
     got = hits(texts, items)
     if got is None:
         return
-    row, item, i, j, n, gram, offsets, places = got
+    row, item, i, j, n, gram, offsets, places, chars = got
     rare = np.zeros(len(gram), bool)
     for w, flags in items.rare.items():
         rare[n == w] = flags[gram[n == w]]
     starts = pairs(row, item, items)
-    unusual = np.concatenate([[0], np.cumsum(rare)])
+    size = np.array(items.sizes)[item[starts[:-1]]]
+    # so much of an item its hits cover at most; a piece is covered to DENSE, so what covers less can't make the share
+    pair = np.repeat(np.arange(len(size)), np.diff(starts))
+    order = np.lexsort((i, pair))
+    step = np.diff(i[order], append=0)
+    step[starts[1:] - 1] = 1 << 40
+    covered = np.bincount(pair, np.minimum(step, n[order]))
+    likely = (covered >= DENSE * (share - EDGE) * size) & (np.bincount(pair, rare) > 0)
+    keep = likely[pair]
+    keep[keep] = compared(items, chars, item[keep], i[keep], j[keep], n[keep])
+    row, item, i, j, rare = row[keep], item[keep], i[keep], j[keep], rare[keep]
+    if not len(row):
+        return
+    starts = pairs(row, item, items)
     for a, b in zip(starts[:-1].tolist(), starts[1:].tolist()):
-        if unusual[a] == unusual[b]:
-            continue
         k, r = int(item[a]), int(row[a])
         for held, chained in copies(i[a:b], j[a:b], items.windows[k], items.sizes[k], rare[a:b], share):
             yield r, items.ids[k], min(1.0, held / items.sizes[k]), [(int(places[p[2]] - offsets[r]), int(places[p[3] - 1] - offsets[r]) + 1) for p in chained]

@@ -84,5 +84,17 @@ def test_equal_hashes_are_compared(spark):
     items = L.Items([(1, EN)])
     other = L.Items([(1, OTHER)])
     items.chars = np.resize(other.chars, len(items.chars))  # the hashes still match, the characters don't
-    assert len(L.hits(pa.array([EN]), items)[0]) == 0 and isinstance(items.begins, np.ndarray)
+    assert len(L.hits(pa.array([EN]), items)[0]) > 0 and not list(L.scan(pa.array([EN]), items)) and list(L.scan(pa.array([EN]), L.Items([(1, EN)])))
     assert L.cut_out("abcdef", [(1, 3), (2, 4)]) == "aef"
+
+
+def test_changed_words_are_bridged():
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("abcdefghijklmnoprstuvw") for _ in range(rng.randint(3, 8)))
+    texts = [[word() for _ in range(40)] for _ in range(60)]
+    items = L.Items([(k, " ".join(t)) for k, t in enumerate(texts)])
+    for every in (8, 6, 5, 4):
+        docs = pa.array([" ".join([word() for _ in range(9)] + [w if i % every else word() for i, w in enumerate(t)] + [word() for _ in range(9)]) for t in texts])
+        found = {(r, k) for r, k, _, _ in L.scan(docs, items)}
+        print(f"every {every}th word changed: {len(found & {(k, k) for k in range(60)})} of 60 found, {len(found - {(k, k) for k in range(60)})} wrong")
+        assert len(found & {(k, k) for k in range(60)}) >= 54 and not found - {(k, k) for k in range(60)}
