@@ -187,7 +187,7 @@ def chain(found: list[tuple[int, int, int, int]]) -> tuple[int, list[tuple[int,
 
 
 def hits(texts: pa.Array, items: Items) -> tuple[np.ndarray, ...] | None:
-    """(row, item, item place, document place, n of the gram, its index) of all hits, by row, item and document place; then the text's arrays."""
+    """(row, item, item place, document place, n of the gram, its index) of all hits, by row, item and document place; then the texts' arrays: row offsets, places, characters that count, row offsets among these."""
     codes, offsets = to_codepoints(texts)
     chars, rows, places = normalised(codes, offsets)
     if not len(chars):
@@ -210,7 +210,7 @@ def hits(texts: pa.Array, items: Items) -> tuple[np.ndarray, ...] | None:
     if not found:
         return None
     all_ = np.concatenate(found, axis=1)
-    return *all_[:, np.lexsort((all_[3], all_[1], all_[0]))], offsets, places, chars
+    return *all_[:, np.lexsort((all_[3], all_[1], all_[0]))], offsets, places, chars, rows
 
 
 def compared(items: Items, chars: np.ndarray, item: np.ndarray, i: np.ndarray, j: np.ndarray, n: np.ndarray) -> np.ndarray:
@@ -229,12 +229,9 @@ def pairs(row: np.ndarray, item: np.ndarray, items: Items) -> np.ndarray:
     return np.flatnonzero(np.concatenate([[True], pair[1:] != pair[:-1], [True]]))
 
 
-def chance(texts: pa.Array, items: Items, counts: dict[int, np.ndarray]) -> None:
+def count_chance(got: tuple, items: Items, counts: dict[int, np.ndarray]) -> None:
     """Add to `counts` how many texts hold each gram of an item of which they hold less than CHANCE."""
-    got = hits(texts, items)
-    if got is None:
-        return
-    row, item, _, _, n, gram, _, _, _ = got
+    row, item, _, _, n, gram, *_ = got
     at = pairs(row, item, items)
     few = np.diff(at) < CHANCE * (np.array(items.sizes) - np.array(items.windows) + 1)[item[at[:-1]]]
     keep = np.repeat(few, np.diff(at))
@@ -243,6 +240,25 @@ def chance(texts: pa.Array, items: Items, counts: dict[int, np.ndarray]) -> None
         into += np.bincount(np.unique(row[own] * len(into) + gram[own]) % len(into), minlength=len(into))
 
 
+def likely(got: tuple, items: Items, share: float, rare: np.ndarray | None = None) -> np.ndarray:
+    """Which hits belong to a pair of text and item that can make the share, and hold character by character.
+
+    The hits of a pair cover at most so much of the item, and a piece is covered to DENSE: what covers less can't make the share. With `rare`
+    a pair needs a hit that is no stock phrase.
+    """
+    row, item, i, j, n, _, _, _, chars, _ = got
+    starts = pairs(row, item, items)
+    size = np.array(items.sizes)[item[starts[:-1]]]
+    pair = np.repeat(np.arange(len(size)), np.diff(starts))
+    order = np.lexsort((i, pair))
+    step = np.diff(i[order], append=0)
+    step[starts[1:] - 1] = 1 << 40
+    hopeful = np.bincount(pair, np.minimum(step, n[order])) >= DENSE * (share - EDGE) * size
+    keep = (hopeful if rare is None else hopeful & (np.bincount(pair, rare) > 0))[pair]
+    keep[keep] = compared(items, chars, item[keep], i[keep], j[keep], n[keep])
+    return keep
+
+
 def copies(i: np.ndarray, j: np.ndarray, n: int, size: int, rare: np.ndarray, share: float) -> list[tuple[int, list[tuple[int, int, int, int]]]]:
     """(characters held, pieces) of every chain that holds the share of an item, the fullest first; no two of them overlap in the text."""
     # a hit covers one window, and pieces that cover each other's places can be thinned to two at a place: fewer can't make the share
@@ -265,21 +281,11 @@ def scan(texts: pa.Array, items: Items, share: float = SHARE) -> Iterator[tuple[
     got = hits(texts, items)
     if got is None:
         return
-    row, item, i, j, n, gram, offsets, places, chars = got
+    row, item, i, j, n, gram, offsets, places, *_ = got
     rare = np.zeros(len(gram), bool)
     for w, flags in items.rare.items():
         rare[n == w] = flags[gram[n == w]]
-    starts = pairs(row, item, items)
-    size = np.array(items.sizes)[item[starts[:-1]]]
-    # so much of an item its hits cover at most; a piece is covered to DENSE, so what covers less can't make the share
-    pair = np.repeat(np.arange(len(size)), np.diff(starts))
-    order = np.lexsort((i, pair))
-    step = np.diff(i[order], append=0)
-    step[starts[1:] - 1] = 1 << 40
-    covered = np.bincount(pair, np.minimum(step, n[order]))
-    likely = (covered >= DENSE * (share - EDGE) * size) & (np.bincount(pair, rare) > 0)
-    keep = likely[pair]
-    keep[keep] = compared(items, chars, item[keep], i[keep], j[keep], n[keep])
+    keep = likely(got, items, share, rare)
     row, item, i, j, rare = row[keep], item[keep], i[keep], j[keep], rare[keep]
     if not len(row):
         return
@@ -324,13 +330,19 @@ def without_stock(docs: DataFrame, block: Items) -> None:
         for batch in batches:
             n += batch.num_rows
             for _, texts in chunks(batch.column(1)):
-                chance(texts, own, counts)
+                if (got := hits(texts, own)) is not None:
+                    count_chance(got, own, counts)
         yield pa.RecordBatch.from_pydict({"w": pa.array([0], pa.int32()), "gram": pa.array([0], pa.int32()), "n": pa.array([n], pa.int64())})
         for w, c in counts.items():
             at = np.flatnonzero(c)
             yield pa.RecordBatch.from_pydict({"w": pa.array(np.full(len(at), w), pa.int32()), "gram": pa.array(at, pa.int32()), "n": pa.array(c[at], pa.int64())})
 
-    sums = docs.mapInArrow(count, "w int, gram int, n bigint").groupBy("w", "gram").agg(F.sum("n").alias("n")).where((F.col("w") == 0) | (F.col("n") >= STOCK)).toArrow()
+    mark_stock(docs.mapInArrow(count, "w int, gram int, n bigint"), block)
+
+
+def mark_stock(counts: DataFrame, block: Items) -> None:
+    """Mark the stock phrases of a block from rows (w, gram, n); w 0 counts the documents. A number for each gram reaches the driver."""
+    sums = counts.groupBy("w", "gram").agg(F.sum("n").alias("n")).where((F.col("w") == 0) | (F.col("n") >= STOCK)).toArrow()
     w, gram, n = (sums.column(c).to_numpy() for c in ("w", "gram", "n"))
     stock = n >= max(STOCK, STOCK_SHARE * n[w == 0].sum())
     for k, flags in block.rare.items():
@@ -424,24 +436,66 @@ def joined_leaks(docs: DataFrame, asked: DataFrame, share: float) -> DataFrame:
     return rows.mapInArrow(judge, LEAKS)
 
 
+FIRST = "doc_id bigint, text_hash bigint, item int, grams array<int>, places array<int>, starts array<int>, stops array<int>, w int, n bigint"
+ARROW_FIRST = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("item", pa.int32()), *((c, pa.list_(pa.int32())) for c in ("grams", "places", "starts", "stops")), ("w", pa.int32()), ("n", pa.int64())])
+
+
+def _first_pass(shared, share: float):
+    """The one scan of the corpus: the verified hits of every pair that can make the share, and how often each gram stands by chance (no document id)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, seen = shared.value, 0
+        counts = {w: np.zeros(len(g[0]), np.int64) for w, g in own.grams.items()}
+        for batch in batches:
+            seen += batch.num_rows
+            for at, texts in chunks(batch.column(1)):
+                if (got := hits(texts, own)) is None:
+                    continue
+                count_chance(got, own, counts)
+                keep = likely(got, own, share)
+                row, item, _, j, n, gram = (x[keep] for x in got[:6])
+                if not len(row):
+                    continue
+                offsets, places, _, begins = got[6:]
+                cuts = pairs(row, item, own)
+                ends = pa.array(cuts, pa.int32())
+                lists = [gram, j - begins[row], places[j] - offsets[row], places[j + n - 1] - offsets[row] + 1]
+                head = cuts[:-1]
+                cols = [batch.column(0).take(pa.array(row[head] + at)), batch.column(2).take(pa.array(row[head] + at)), pa.array(item[head], pa.int32()), *(pa.ListArray.from_arrays(ends, pa.array(x, pa.int32())) for x in lists)]
+                yield pa.RecordBatch.from_arrays([*cols, pa.nulls(len(head), pa.int32()), pa.nulls(len(head), pa.int64())], schema=ARROW_FIRST)
+        for w, c in [(0, np.array([seen])), *counts.items()]:
+            at = np.flatnonzero(c)
+            none = [pa.nulls(len(at), f.type) for f in list(ARROW_FIRST)]
+            yield pa.RecordBatch.from_arrays([none[0], none[1], pa.array(at, pa.int32()), *none[3:7], pa.array(np.full(len(at), w), pa.int32()), pa.array(c[at], pa.int64())], schema=ARROW_FIRST)
+
+    return run
+
+
 def leaks(documents: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text", share: float = SHARE, max_grams: int = MAX_GRAMS) -> DataFrame:
     """(doc_id, text_hash, item_id, held, spans): every copy of at least `share` of an item in a document, and where it stands."""
     docs, asked = _documents(documents, id_col, text_col), _asked(items, item_id, item_text)
     block = block_of(asked, max_grams)
     if block is None:
         return joined_leaks(docs, asked, share)
-    without_stock(docs, block)
+    first = written(docs.mapInArrow(_first_pass(docs.sparkSession.sparkContext.broadcast(block), share), FIRST), "leak-pairs")
+    mark_stock(first.where(F.col("doc_id").isNull()).select("w", F.col("item").alias("gram"), "n"), block)
     shared = docs.sparkSession.sparkContext.broadcast(block)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
         for batch in batches:
-            for at, texts in chunks(batch.column(1)):
-                out = [(batch.column(0)[at + r].as_py(), batch.column(2)[at + r].as_py(), k, held, [{"start": a, "stop": b} for a, b in spans]) for r, k, held, spans in scan(texts, own, share)]
-                if out:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), ARROW_LEAKS)], schema=ARROW_LEAKS)
+            out = []
+            for doc, text, k, grams, places, begins, ends in zip(*(c.to_pylist() for c in batch.columns)):
+                n, j = own.windows[k], np.array(places)
+                gram = np.array(grams)
+                i, rare = own.grams[n][2][gram], own.rare[n][gram]
+                start, stop = dict(zip(places, begins)), dict(zip((j + n).tolist(), ends))
+                for held, chained in copies(i, j, n, own.sizes[k], rare, share):
+                    out.append((doc, text, own.ids[k], min(1.0, held / own.sizes[k]), [{"start": start[p[2]], "stop": stop[p[3]]} for p in chained]))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), ARROW_LEAKS)], schema=ARROW_LEAKS)
 
-    return docs.mapInArrow(run, LEAKS)
+    return first.where(F.col("doc_id").isNotNull()).select("doc_id", "text_hash", "item", "grams", "places", "starts", "stops").mapInArrow(judge, LEAKS)
 
 
 def leaked_pairs(documents: DataFrame, items: DataFrame) -> DataFrame:
