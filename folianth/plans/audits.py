@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from folianth.functions import classify, rules
 from folianth.functions.rules import as_sql, quoted
-from folianth.operators import layout
+from folianth.operators import coverage, layout
 from folianth.operators import lookup as L
 from folianth.operators.ordered import BUCKET, numbered, scan
 from folianth.plans import navigation, pages
@@ -97,6 +97,16 @@ def corrections(spark, d):
     return met.where(~F.col("key").eqNullSafe(F.col("printed"))).select("book", "entry_id", "i", "shift", F.when(F.col("declared"), "exception").otherwise("drift").alias("verdict"))
 
 
+def coverage_report_mode(spark, d):
+    """Coverage against the navigation alone, without what a review declares: matched lines, share, and the first five that nothing matches."""
+    lines_ = navigation.written(coverage.printed_titles(table(spark, d, "printed_lines")), "printed-titles")
+    nav = coverage.label_keys(entries(spark, d).select("book", "label", F.lit(None).cast("string").alias("deviation"), F.lit(None).cast("string").alias("printed")))
+    verdicts = navigation.written(coverage.accounted(lines_, nav), "report-verdicts")
+    left = verdicts.where("verdict = 'silent'").select("book", "line_no", F.substring("line", 1, 40).alias("line")).withColumn("k", F.row_number().over(Window.partitionBy("book").orderBy("line_no"))).where("k <= 5")
+    samples = left.groupBy("book").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("k", "line"))), lambda x: x["line"]), " | ").alias("unmatched"))
+    return coverage.by_book(verdicts).join(samples, "book", "left").select("book", "printed_lines", F.col("restored").alias("matched"), "coverage", "unmatched")
+
+
 def packet_summary(spark, d):
     """Figures of every chapter's review packet: blocks, windows of printed contents, structural hits, probable contents lines."""
     b = pages.blocks(spark, d).groupBy("doc_id").agg(F.count(F.lit(1)).alias("blocks"), F.count_if(classify.probable_toc_line(F.col("text"))).alias("probable"))
@@ -153,6 +163,7 @@ SQL = {
     SELECT entry_id, doc_id, block, substring(text, 1, 80) AS found, CASE WHEN text IS NULL THEN 'no such block' WHEN want = '' THEN 'no expected text' ELSE 'other text' END AS drift FROM m WHERE text IS NULL OR want = '' OR NOT contains(got, want)""",
     "corrections": f"""WITH {ENTRIES_SQL}, e AS (SELECT book, entry_id, seq, label, coalesce(deviation <> '', false) AS declared, row_number() OVER (PARTITION BY book ORDER BY seq, entry_id) AS i FROM entries WHERE book IS NOT NULL), s AS (SELECT *, CAST(coalesce(sum(CASE WHEN declared THEN 1 ELSE 0 END) OVER (PARTITION BY book ORDER BY seq, entry_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS shift, {as_sql('key_coverage', 'label')} AS key FROM e),
     p AS (SELECT book, row_number() OVER (PARTITION BY book ORDER BY line_no) AS i, {as_sql('key_coverage', as_sql('page_suffix', 'line'))} AS printed FROM (SELECT book, line_no, min(line) AS line FROM printed_lines WHERE book IS NOT NULL GROUP BY book, line_no)) SELECT s.book, entry_id, s.i, shift, CASE WHEN declared THEN 'exception' ELSE 'drift' END AS verdict FROM s JOIN p ON p.book = s.book AND p.i = s.i WHERE key IS DISTINCT FROM printed""",
+    "coverage_report_mode": navigation._FOLD.replace(navigation._RENAMED, "") + " SELECT r.book, r.printed_lines, r.restored AS matched, r.coverage, u.unmatched FROM report r LEFT JOIN (SELECT book, string_agg(substring(line, 1, 40), ' | ' ORDER BY line_no) AS unmatched FROM (SELECT *, row_number() OVER (PARTITION BY book ORDER BY line_no) AS k FROM verdicts WHERE verdict = 'silent') WHERE k <= 5 GROUP BY book) u ON u.book = r.book",
     "packet_summary": f"WITH {_PACKETS} SELECT * FROM summary",
     "review_packets": f"""WITH {_PACKETS}, wt AS (SELECT doc_id, string_agg('### Window ' || k || ': block ' || start || chr(10) || chr(10) || '```text' || chr(10) || text || chr(10) || '```' || chr(10), '' ORDER BY start) AS t FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY start) AS k FROM wins) GROUP BY doc_id),
     ht AS (SELECT doc_id, string_agg(k || '. block ' || block_no || ' `<' || tag || '>`: ' || text || chr(10) || '   Context: ' || context || chr(10), '' ORDER BY block_no) AS t FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY block_no) AS k FROM hits) GROUP BY doc_id),

@@ -29,7 +29,7 @@ _BOOKS = [
     ("added", _PRINTED, [*((x, None, None) for x in _THREE), ("尾声", None, None)], ["附表 潮位", "谢词"]),
     ("damaged", [*_PRINTED[:2], "第三讲 归舫……37", *_PRINTED[3:]], [*((x, None, None) for x in _THREE[:2]), ("第三讲 归航", "第三讲 归舫", "印行有损"), ("附表 潮位", None, None), ("谢词", None, None)], []),
     ("undeclared", [*_PRINTED[:2], "第三讲 归舫……37", *_PRINTED[3:]], [*((x, None, None) for x in _THREE[:2]), ("第三讲 归航", None, "印行有损"), ("附表 潮位", None, None), ("谢词", None, None)], []),
-    ("wrapped", [*_PRINTED[:3], "漫长的海岸|", "线完整还原……71"], [*((x, None, None) for x in _THREE), ("漫长的海岸线完整还原", None, None)], []),
+    ("wrapped", [*_PRINTED[:3], "漫长的海岸|", "线画得完整……71"], [*((x, None, None) for x in _THREE), ("漫长的海岸线画得完整", None, None)], []),
     ("prose", ["第一讲 潮汐……4", "这一天没有风。", "船停在港里。"], [("第一讲 潮汐", None, None)], []),
 ]
 
@@ -146,7 +146,7 @@ def nav_demote_guard(spark, d):
     """Entries whose label is a printed contents line go, unless none would be left."""
     from folianth.functions import classify
 
-    nav = literal(spark, _NAV_SCHEMA, [*_NAV, ("n", 7, [4], "第一章 起点……12", "e.html"), ("p", 21, [0], "第一章 起点……12", "a.html"), ("p", 22, [1], "第二章 中途 …… 30", "b.html")])
+    nav = literal(spark, _NAV_SCHEMA, [*_NAV, ("n", 7, [4], "第三章 涨潮……12", "e.html"), ("p", 21, [0], "第三章 涨潮……12", "a.html"), ("p", 22, [1], "第五章 退潮 …… 30", "b.html")])
     return edits.pruned(nav, nav.where(classify.printed_entry(F.col("label"))).select("entry_id"), 1).select("book", "entry_id", "removed")
 
 
@@ -180,7 +180,7 @@ def offset_cases(spark, d):
 
 
 def likely_printed_nav(spark, d):
-    rows = [("a", "第一章 起点……12", 9, ""), ("b", "Front", 1, "书前有目录一页"), ("c", "Front", 3, "目录"), ("d", "Front", 2, "Reefs ..... 4"), ("e", "Plain", 0, "Nothing of the kind")]
+    rows = [("a", "第三章 涨潮……12", 9, ""), ("b", "Front", 1, "书前有目录一页"), ("c", "Front", 3, "目录"), ("d", "Front", 2, "Reefs ..... 4"), ("e", "Plain", 0, "Nothing of the kind")]
     t = literal(spark, "name string, label string, file_index int, near string", rows)
     return t.select("name", L.likely_printed(F.col("label"), F.col("file_index"), F.col("near")).alias("likely"))
 
@@ -235,6 +235,24 @@ def tree_compare(spark, d):
     return L.tree_differences(literal(spark, schema, a), literal(spark, schema, [a[0], ("b", [1], "B", "x.html", 3), a[2]])).select("label", "block", "side")
 
 
+_CHAPTERS = [["目录", "第一讲 潮汐", "第二讲 灯塔"], ["第一讲 潮汐", "海水一日两涨。", "漫长的", "海岸线", "注释"], ["第二讲 灯塔", "灯塔 与 海岸", "注释", "灯塔"]]
+#: (number, label, search, exact, occurrence, window, last file, file, block)
+_SEARCHES = [
+    (1, "第一讲 潮汐", None, True, None, None, None, None, None), (2, "漫长的海岸线", None, True, None, 2, None, None, None), (3, "注释", [], True, None, None, None, None, None), (4, "第二讲　灯塔", None, True, None, None, None, None, None), (5, "灯与岸", ["灯塔", "海岸"], False, None, None, None, None, None),
+    (6, "注释", None, True, None, None, 1, None, None), (7, "灯塔", None, None, None, None, None, None, None), (8, "卷首", None, None, None, None, None, 0, 2), (9, "注释", None, True, 2, None, None, None, None), (10, "……", None, None, None, None, None, None, None),
+]
+
+
+def resolve_cases(spark, d):
+    """Searches resolved one after another: from the book's first file on, after the hit before, within the last file, over two blocks, the n-th."""
+    from folianth.operators import resolve
+
+    e = literal(spark, "book string, entry_id bigint, seq int, label string, search array<string>, exact boolean, occurrence int, start_file int, max_file int, window int, file_index int, block int", [("b", n, n, label, search, exact, occurrence, None, last, window, f, b) for n, label, search, exact, occurrence, window, last, f, b in _SEARCHES])
+    blocks = literal(spark, "book string, file_index int, block int, text string", [("b", f, k, t) for f, c in enumerate(_CHAPTERS) for k, t in enumerate(c)])
+    out = resolve.resolve(e, blocks, literal(spark, "book string, start_file int, start_block int, exact boolean", [("b", 1, 0, None)]))
+    return out.select("entry_id", "file_index", "block", F.when(F.col("error").isNotNull(), "unresolved").alias("error"))
+
+
 # --- books, specs, notes, reports
 
 _SHELF = ["[reviewed] Tides.epub", "Tides.epub", "Tides of the North.epub", "Reefs (2nd).epub", "Reefs.epub"]
@@ -295,7 +313,7 @@ def frozen_specs(spark, d):
 # --- layout items
 
 _ITEMS = [
-    '{"type":"text","text":"第一章 示例标题 12","text_level":1}', '{"type":"title","content":{"title_content":[{"content":"第二节 灯塔"}]}}', '{"type":"title","content":"没有级别"}', '{"type":"header","text":"no"}', '{"type":"paragraph","content":{"paragraph_content":[{"type":"text","content":"x is "},{"type":"equation_inline","content":"\\\\alpha_{1}"}]}}',
+    '{"type":"text","text":"第二章 潮水涨落 12","text_level":1}', '{"type":"title","content":{"title_content":[{"content":"第二节 灯塔"}]}}', '{"type":"title","content":"没有级别"}', '{"type":"header","text":"no"}', '{"type":"paragraph","content":{"paragraph_content":[{"type":"text","content":"x is "},{"type":"equation_inline","content":"\\\\alpha_{1}"}]}}',
     '{"type":"table","content":{"html":"<table><tr><td>$x^2$</td></tr></table>","table_caption":["Cap"],"table_footnote":["Note"]}}', '{"type":"image","content":{"image_source":{"path":"a/b.png"},"image_caption":["A [lamp]"]}}', '{"type":"image","img_path":"b.txt"}', '{"type":"equation_interline","content":{"math_content":"a \\\\leq b"}}',
     '{"type":"list","content":{"list_items":[{"item_content":[{"type":"text","content":"one"}],"sub":{"list_items":[{"item_content":"inner"}]}},{"item_content":"two"}]}}', '{"type":"code","content":{"code_content":"a\\n  b","code_language":"py","code_caption":["run"]}}', '{"type":"page_footnote","content":{"page_footnote_content":"fine print"}}', '{"type":"odd","content":{"style":"kept","sub":"too"}}', '{"type":"text"}', "{", None,
 ]
@@ -337,6 +355,7 @@ SQL = {
     "nth_current_target": values_sql("book VARCHAR, label VARCHAR, occurrence INTEGER, pos VARCHAR, error VARCHAR", [("b", "PartOne", None, "p1", None), ("b", "Notes", 2, "p3", None), ("b", "Notes", None, None, "ambiguous label"), ("b", "Notes", 3, None, "no such occurrence"), ("b", "Part Two", 1, "p4", None), ("b", "Absent", None, None, "no such label")]),
     "group_expand": values_sql("range_id INTEGER, file_index INTEGER, block INTEGER", [(1, 0, 2), (1, 0, 3), (1, 1, 0), (1, 1, 1), (2, 1, 3)]),
     "numbered_transcription": values_sql("no INTEGER, title VARCHAR", [(1, "潮汐3. 不算"), (2, "灯塔 2 座于 4 点4. 早了"), (3, "归航")]),
+    "resolve_cases": values_sql("entry_id BIGINT, file_index INTEGER, block INTEGER, error VARCHAR", [(1, 1, 0, None), (2, 1, 2, None), (3, 1, 4, None), (4, 2, 0, None), (5, 2, 1, None), (6, None, None, "unresolved"), (7, 2, 3, None), (8, 0, 2, None), (9, 2, 2, None), (10, None, None, "unresolved")]),
     "tree_compare": values_sql("label VARCHAR, block INTEGER, side VARCHAR", [("B", 2, "left"), ("B", 3, "right")]),
     "book_patterns": values_sql("pattern VARCHAR, book VARCHAR, matches BIGINT", [("[reviewed] Tides.epub", "[reviewed] Tides.epub", 1), ("Tides*", None, 2), ("*North*", "Tides of the North.epub", 1), ("Reefs ?2nd?.epub", "Reefs (2nd).epub", 1), ("*", None, 5), ("Nothing*", None, 0), ("[RT]eefs.epub", "Reefs.epub", 1)]),
     "spec_book_match": values_sql("book VARCHAR, spec VARCHAR", [("[reviewed] Tides.epub", "Tides.epub"), ("Tides.epub", "Tides.epub"), ("Tides of the North.epub", "Tides.epub"), ("Reefs (2nd).epub", "Reefs (2nd).epub"), ("Reefs.epub", None)]),
@@ -348,7 +367,7 @@ SQL = {
     "layout_files": values_sql("part INTEGER, prefix VARCHAR, type VARCHAR, text VARCHAR, error VARCHAR", [(1, "p001", "text", "a", None), (1, "p001", "text", "b", None), (2, "p002", "title", None, None), (3, "p003", None, None, "not a list of items")]),
     "frozen_specs": values_sql("book VARCHAR, top INTEGER, inner_ VARCHAR, expect VARCHAR, loose VARCHAR".replace("inner_", "\"inner\""), [("b", 3, "C", "", "Loose")]),
     "markdown_cases": values_sql("form VARCHAR, seq INTEGER, markdown VARCHAR", [
-        ("plain", 0, "第一章 示例标题"), ("plain", 1, "## 第二节 灯塔"), ("plain", 2, "**没有级别**"), ("plain", 4, "x is\\alpha_{1}"), ("plain", 5, "<table><tr><td>$x^2$</td></tr></table>\n\n*Cap*\n\n> Note"), ("plain", 6, "![A lamp](a/b.png)\n\n*A [lamp]*"), ("plain", 8, "a \\leq b"), ("plain", 9, "- one\n  - inner\n- two"), ("plain", 10, "*run*\n\n```py\na\n  b\n```"), ("plain", 11, "> fine print"), ("plain", 12, "kept too"),
+        ("plain", 0, "第二章 潮水涨落"), ("plain", 1, "## 第二节 灯塔"), ("plain", 2, "**没有级别**"), ("plain", 4, "x is\\alpha_{1}"), ("plain", 5, "<table><tr><td>$x^2$</td></tr></table>\n\n*Cap*\n\n> Note"), ("plain", 6, "![A lamp](a/b.png)\n\n*A [lamp]*"), ("plain", 8, "a \\leq b"), ("plain", 9, "- one\n  - inner\n- two"), ("plain", 10, "*run*\n\n```py\na\n  b\n```"), ("plain", 11, "> fine print"), ("plain", 12, "kept too"),
         ("rich", 1, "# 第二节 灯塔"), ("rich", 2, "# 没有级别"), ("rich", 4, "x is" + _MATH.format("α<sub>1</sub>")), ("rich", 5, "*Cap*\n\n<div class=\"recognized-table\">\n<table><tr><td>" + _MATH.format("x<sup>2</sup>") + "</td></tr></table>\n</div>\n\n> Note"), ("rich", 6, "*A [lamp]*\n\n<div class=\"figure-image\"><img src=\"assets/b.png\" alt=\"A [lamp]\" /></div>"), ("rich", 8, "$$\na \\leq b\n$$\n\n<div class=\"latex-source\">a \\leq b</div>"), ("rich", 9, "- one\n- two"), ("rich", 10, "a\nb py run"), ("rich", 11, "> fine print"), ("rich", 12, "kept too"),
     ]),
 }

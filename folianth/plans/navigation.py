@@ -222,10 +222,11 @@ _LAG = f"{LISTED_SQL}, lagged AS (SELECT book, entry_id, pos, lag(pos) OVER (PAR
 _RUN = f"{LISTED_SQL}, run AS (SELECT *, max(pos) OVER (PARTITION BY book ORDER BY seq, entry_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - pos AS back FROM listed), audit AS (SELECT book, arg_min(label, (seq, entry_id)) FILTER (back > 0) AS first_inversion, count(*) FILTER ({classify.printed_label.sql("coalesce(label, '')")}) AS printed_labels, count(*) AS nav_items, count(*) FILTER (back > 0) AS order_inversions, greatest(coalesce(max(back), 0), 0) AS largest_backtrack, count(*) FILTER (pos IS NULL) AS missing_targets FROM run GROUP BY book)"
 _FINDINGS = f"{_LAG}, findings AS (SELECT book, entry_id, {_HYGIENE} AS code FROM listed WHERE {_HYGIENE} IS NOT NULL UNION ALL SELECT book, entry_id, 'missing target' FROM listed WHERE pos IS NULL UNION ALL SELECT book, entry_id, 'not in reading order' FROM lagged WHERE pos < before UNION ALL SELECT book, entry_id, 'shared target' FROM (SELECT *, count(*) OVER (PARTITION BY book, pos) AS n FROM listed WHERE pos IS NOT NULL) WHERE n > 1)"
 _KEY = lambda x: as_sql("key_coverage", x)
+_RENAMED = f" UNION ALL SELECT book, {_KEY('printed')}, 2, false FROM entries WHERE printed <> ''"
 _PRINTED = f"""{ENTRIES_SQL}, one AS (SELECT book, CAST(line_no AS BIGINT) AS line_no, any_value(line) AS line FROM printed_lines WHERE book IS NOT NULL AND line IS NOT NULL GROUP BY book, line_no), hits AS (SELECT *, {classify.toc_line.sql('line')} AS hit FROM one),
 open AS (SELECT book FROM hits GROUP BY book HAVING count(*) FILTER (hit) >= 5 AND count(*) FILTER (hit) >= 0.4 * count(*)), cut AS (SELECT book, line_no, {as_sql('page_suffix', 'line')} AS line FROM hits WHERE hit AND book IN (SELECT book FROM open)),
 toc AS (SELECT *, row_number() OVER (PARTITION BY book ORDER BY line_no) AS i, lead(line) OVER (PARTITION BY book ORDER BY line_no) AS next FROM cut WHERE length(line) >= 2 AND NOT regexp_matches(line, {rules.quoted(classify.PAGE_ONLY)}) AND NOT regexp_matches(line, {rules.quoted(classify.TOC_WORD)})),
-keys AS (SELECT book, k, min(r) AS r, bool_or(dev) AS dev FROM (SELECT book, {_KEY('label')} AS k, 1 AS r, coalesce(deviation <> '', false) AS dev FROM entries UNION ALL SELECT book, {_KEY('printed')}, 2, false FROM entries WHERE printed <> '') WHERE length(k) > 0 GROUP BY book, k)"""
+keys AS (SELECT book, k, min(r) AS r, bool_or(dev) AS dev FROM (SELECT book, {_KEY('label')} AS k, 1 AS r, coalesce(deviation <> '', false) AS dev FROM entries{_RENAMED}) WHERE length(k) > 0 GROUP BY book, k)"""
 _FOLD = f"""WITH RECURSIVE {_PRINTED}, m AS (SELECT toc.*, a.r AS r1, b.r AS r2 FROM toc LEFT JOIN keys a ON a.book = toc.book AND a.k = {_KEY('line')} LEFT JOIN keys b ON b.book = toc.book AND b.k = {_KEY("line || next")}),
 s AS (SELECT *, coalesce(r2 IS NOT NULL AND NOT (r1 IS NOT NULL AND r1 <= r2), false) AS pair, least(r1, r2) AS own FROM m),
 f AS (SELECT book, i, line_no, line, false AS taken, pair AS takes, own AS rank FROM s WHERE i = 1 UNION ALL SELECT s.book, s.i, s.line_no, s.line, f.takes, NOT f.takes AND s.pair, CASE WHEN f.takes THEN f.rank ELSE s.own END FROM f JOIN s ON s.book = f.book AND s.i = f.i + 1),

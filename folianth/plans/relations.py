@@ -49,7 +49,7 @@ CASE_ENTRIES = [
 ]
 #: Chapters of that book: a repeated heading, headings that are printed contents lines, the label in a later chapter.
 CASE_DOCS = [
-    (-1, "case-a", 1, "# Ropes\n\nOpening of the mill, at last.\n\n# Ropes\n\nMore of it.\n\n# 第一章 起点……12"), (-2, "case-a", 2, "## Quay\n\nNothing here."), (-3, "case-a", 3, "The lanterns of the quay: Lanterns of the quay.\n\n### 附录 .... 7"),
+    (-1, "case-a", 1, "# Ropes\n\nOpening of the mill, at last.\n\n# Ropes\n\nMore of it.\n\n# 第三章 涨潮……12"), (-2, "case-a", 2, "## Quay\n\nNothing here."), (-3, "case-a", 3, "The lanterns of the quay: Lanterns of the quay.\n\n### 附录 .... 7"),
     (-4, "case-b", 2, "Only entry stands here.\nOnly entry stands here."), (-5, None, 1, None),
 ]
 

@@ -4,7 +4,7 @@ import pytest
 
 from folianth.operators import coverage as C
 
-LINES = ["第一章 起点", "第二章 转折", "第三章 结局", "附录 量表", "致谢"]
+LINES = ["第三章 涨潮", "第五章 退潮", "第六章 平潮", "附表 潮位", "谢词"]
 
 
 def run(spark, lines, entries, dropped=()):
@@ -16,10 +16,10 @@ def run(spark, lines, entries, dropped=()):
     return C.by_book(v), C.additions(toc, keys), v
 
 
-SPEC = [("第一章 起点", None, None), ("第二章 转折", None, None), ("第三章 结局", None, None), ("后记", "added", None)]
+SPEC = [("第三章 涨潮", None, None), ("第五章 退潮", None, None), ("第六章 平潮", None, None), ("尾声", "added", None)]
 
 
-@pytest.mark.parametrize("dropped, want, code", [(["附录 量表", "致谢"], (3, 2, 0), 0), (["附录 量表"], (3, 1, 1), 3)])
+@pytest.mark.parametrize("dropped, want, code", [(["附表 潮位", "谢词"], (3, 2, 0), 0), (["附表 潮位"], (3, 1, 1), 3)])
 def test_gate(spark, dropped, want, code):
     books, added, _ = run(spark, LINES, SPEC, dropped)
     r = books.collect()[0]
@@ -28,12 +28,12 @@ def test_gate(spark, dropped, want, code):
 
 
 def test_additions_renames_and_wrapped_titles(spark):
-    books, added, _ = run(spark, LINES, [*SPEC[:3], ("后记", None, None)], LINES[3:])
-    assert [r.key for r in added.collect()] == ["后记"] and C.gate(books, added) == 0 and C.gate(books, added, strict=True) == 4
-    damaged = [*LINES[:2], "第三章 结同", *LINES[3:]]
-    assert run(spark, damaged, [*SPEC[:2], ("第三章 结局", None, "第三章 结同")], LINES[3:])[0].collect()[0].silent == 0
+    books, added, _ = run(spark, LINES, [*SPEC[:3], ("尾声", None, None)], LINES[3:])
+    assert [r.key for r in added.collect()] == ["尾声"] and C.gate(books, added) == 0 and C.gate(books, added, strict=True) == 4
+    damaged = [*LINES[:2], "第六章 平朝", *LINES[3:]]
+    assert run(spark, damaged, [*SPEC[:2], ("第六章 平潮", None, "第六章 平朝")], LINES[3:])[0].collect()[0].silent == 0
     assert run(spark, damaged, SPEC[:3], LINES[3:])[0].collect()[0].silent == 1
-    wrapped = run(spark, ["很长的章节", "标题完整还原", "甲乙", "丙丁", "戊己"], [("很长的章节标题完整还原", None, None)])[0].collect()[0]
+    wrapped = run(spark, ["漫长的海岸", "线完整画出了", "甲乙", "丙丁", "戊己"], [("漫长的海岸线完整画出了", None, None)])[0].collect()[0]
     assert (wrapped.restored, wrapped.silent) == (2, 3)
 
 

@@ -9,16 +9,16 @@ from folianth.sources import files
 
 
 def test_places_in_text(spark):
-    page = '<p>目录</p><p id="a">第一章 起点…… 12</p><p>第二章</p>'
-    df = spark.createDataFrame([(page, "a", "x"), (page, "no", "x"), (page, "", "第二章"), (page, "", "")], "page string, fragment string, label string")
+    page = '<p>目录</p><p id="a">第三章 涨潮…… 12</p><p>第五章</p>'
+    df = spark.createDataFrame([(page, "a", "x"), (page, "no", "x"), (page, "", "第五章"), (page, "", "")], "page string, fragment string, label string")
     got = [r[0] for r in df.select(L.fragment_offset(F.col("page"), F.col("fragment"), F.col("label"))).collect()]
     assert got[0] == page.index('id="a"') and got[1] == -1 and got[2] > 0 and got[3] == 0
-    text = "begin 第一章 起点…… 12 第二章 转折…… 15 end"
-    at = text.index("第一章 起点")
+    text = "begin 第三章 涨潮…… 12 第五章 退潮…… 15 end"
+    at = text.index("第三章 涨潮")
     r = spark.createDataFrame([(text, at, at + 6)], "t string, a int, b int").select(
-        L.locator_after(F.col("t"), F.col("b")), L.locator_before(F.col("t"), F.col("a")), L.locator_before(F.col("t"), F.lit(text.index("第二章"))), L.locator_near(F.col("t"), F.col("a"), F.col("b")), L.next_label_near(F.col("t"), F.col("b"), F.lit("第二章 转折")), L.snippet(F.col("t"), F.col("a"), 6, 3),
+        L.locator_after(F.col("t"), F.col("b")), L.locator_before(F.col("t"), F.col("a")), L.locator_before(F.col("t"), F.lit(text.index("第五章"))), L.locator_near(F.col("t"), F.col("a"), F.col("b")), L.next_label_near(F.col("t"), F.col("b"), F.lit("第五章 退潮")), L.snippet(F.col("t"), F.col("a"), 6, 3),
     ).collect()[0]
-    assert tuple(r) == (True, False, True, True, True, "begin 第一章")
+    assert tuple(r) == (True, False, True, True, True, "begin 第三章")
 
 
 def test_ranges_occurrences_and_zips(spark):
@@ -52,7 +52,7 @@ def test_trees_duplicates_and_targets(spark):
     a = spark.createDataFrame([("b", [0], "x", "f", 1), ("b", [1], "y", "f", 2)], "book string, path array<int>, label string, file string, block int")
     b = a.withColumn("block", F.when(F.col("label") == "y", 3).otherwise(F.col("block")))
     assert sorted(r.side for r in L.tree_differences(a, b).collect()) == ["left", "right"] and L.tree_differences(a, a).count() == 0
-    e = spark.createDataFrame([("b", 1, 1, "第一章 甲"), ("b", 2, 2, "乙乙"), ("b", 3, 3, "第一章 丙"), ("b", 4, 4, "乙 乙"), ("c", 5, 1, "乙乙")], "book string, entry_id bigint, seq int, label string")
+    e = spark.createDataFrame([("b", 1, 1, "第三章 甲"), ("b", 2, 2, "乙乙"), ("b", 3, 3, "第三章 丙"), ("b", 4, 4, "乙 乙"), ("c", 5, 1, "乙乙")], "book string, entry_id bigint, seq int, label string")
     assert sorted(r.entry_id for r in L.later_duplicates(e).collect()) == [1, 2]
     blocks = spark.createDataFrame([("b", 0, 0, "甲乙丙……3"), ("b", 0, 1, "甲乙"), ("b", 1, 0, "x 甲 乙丙"), ("b", 1, 1, "甲乙丙")], "book string, file_index int, block int, text string")
     titles = spark.createDataFrame([("b", 9, 0, 0, "甲乙丙"), ("b", 8, 1, 1, "甲乙丙")], "book string, entry_id bigint, file_index int, block int, label string")

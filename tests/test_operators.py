@@ -15,22 +15,22 @@ def md(spark, text):
 
 
 def test_markdown(spark):
-    assert md(spark, "**A & B < C**") == "<p><strong>A &amp; B &lt; C</strong></p>"
+    assert md(spark, "**Ebb & flow < 3**") == "<p><strong>Ebb &amp; flow &lt; 3</strong></p>"
     assert md(spark, "## 目录\n### A\n#### B\ntext\nmore\n\n- x\n- y\n\n> q\n```\n- <c>\n\n```\n![a](i.png)\n![a](i.txt)") == (
         "<p><strong>目录</strong></p>\n<h1>A</h1>\n<h2>B</h2>\n<p>text more</p>\n<ul>\n<li>x</li>\n<li>y</li>\n</ul>\n<blockquote>q</blockquote>\n<pre><code>- &lt;c&gt;\n</code></pre>\n<figure><img src=\"i.png\" alt=\"a\"></figure>"
     )
-    assert md(spark, "第一章 起点\nx") == "<h1>第一章 起点</h1>\n<p>x</p>"
+    assert md(spark, "第三章 涨潮\nx") == "<h1>第三章 涨潮</h1>\n<p>x</p>"
 
 
 def test_layout(spark):
     items = [
-        {"type": "text", "text": "第一章 示例标题 12", "text_level": 1}, {"type": "title", "content": {"title_content": [{"content": "第一章 示例标题 12"}]}}, {"type": "title", "content": {"title_content": [{"content": "第一章 起"}]}}, {"type": "header", "text": "no"},
+        {"type": "text", "text": "第二章 潮水涨落 12", "text_level": 1}, {"type": "title", "content": {"title_content": [{"content": "第二章 潮水涨落 12"}]}}, {"type": "title", "content": {"title_content": [{"content": "第一章 起"}]}}, {"type": "header", "text": "no"},
         {"type": "table", "content": {"table_body": "<table></table>", "table_caption": ["c"]}}, {"type": "image", "content": {"image_source": {"path": "a.png"}, "image_caption": []}}, {"type": "code", "content": {"code_content": "a\n  b", "code_language": "py"}}, {"type": "list", "content": "plain"}, {"type": "text", "text": ""},
     ]
     rows = [("b", i, i, x["type"], json.dumps(x)) for i, x in enumerate(items)] + [("b", 90, 90, "text", "{"), ("b", 91, 91, "text", None), ("b", 2, 2, "title", json.dumps(items[2]))]
     df = spark.createDataFrame(rows, "book string, seq int, block_id bigint, type string, item string")
     got = {r.seq: r.markdown for r in layout.rendered(df).collect()}
-    assert got == {0: "第一章 示例标题", 1: "**第一章 示例标题**", 2: "# 第一章 起", 4: "<table></table>\n\n*c*", 5: "![image](a.png)", 6: "```py\na\n  b\n```", 7: "plain"}
+    assert got == {0: "第二章 潮水涨落", 1: "**第二章 潮水涨落**", 2: "# 第一章 起", 4: "<table></table>\n\n*c*", 5: "![image](a.png)", 6: "```py\na\n  b\n```", 7: "plain"}
     assert layout.parts(layout.rendered(df), 5).count() == 2
 
 

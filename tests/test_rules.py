@@ -19,8 +19,8 @@ def test_rules(spark):
 
 
 PREDICATES = [
-    ("heading_level", "第一章 示例标题 12", 0), ("heading_level", "第一章", 1), ("heading_level", "第一章起点", 0), ("heading_level", "1.2.3 x", 4), ("heading_level", "目录", 1), ("heading_level", "一、开始", 2), ("printed_entry", "第一章 示例标题 12", True), ("printed_entry", "", False),
-    ("toc_line", "致谢……60", True), ("toc_line", "正文 60", False), ("fallback_heading", "第三章 结局", True), ("fallback_heading", "第三章结局。", False), ("body_list_label", "12. 一句话。", True), ("label_hygiene", "目录", "printed contents page exposed as navigation"), ("label_hygiene", "Intro", None),
+    ("heading_level", "第二章 潮水涨落 12", 0), ("heading_level", "第一章", 1), ("heading_level", "第三章涨潮", 0), ("heading_level", "1.2.3 x", 4), ("heading_level", "目录", 1), ("heading_level", "一、开始", 2), ("printed_entry", "第二章 潮水涨落 12", True), ("printed_entry", "", False),
+    ("toc_line", "谢词……71", True), ("toc_line", "正文 60", False), ("fallback_heading", "第六章 平潮", True), ("fallback_heading", "第六章平潮。", False), ("body_list_label", "12. 一句话。", True), ("label_hygiene", "目录", "printed contents page exposed as navigation"), ("label_hygiene", "Intro", None),
 ]
 
 
