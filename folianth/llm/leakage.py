@@ -42,7 +42,7 @@ CHANCE = 0.2
 #: A gram is a stock phrase if so many documents, and this share of all, hold it by chance.
 STOCK, STOCK_SHARE = 3, 1e-3
 MAX_GRAMS = 4_000_000
-CHUNK = 1_000_000
+CHUNK = 300_000
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 BASE_INV = np.uint64(pow(int(BASE), -1, 2**64))
 
