@@ -66,6 +66,11 @@ def p7_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.checks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"))
 
 
+def p7_exact_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The largest mixture that meets every share within every cap."""
+    return mixing.mixture(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"), total_blocks=mixing.EXACT)
+
+
 def p7_exact_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The report of the largest mixture that meets every share within every cap."""
     return mixing.shares(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"), total_blocks=mixing.EXACT)
